@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import mean, percent
+from ..sources.sinks import stage
 from .grouped import order_statistics
 
 
@@ -115,47 +116,58 @@ def _sets(items: DataFrame) -> DataFrame:
 def basket_triples(lines: DataFrame, max_items: int = 60, seed_items: int = 40) -> DataFrame:
     """The most frequent combinations of three products in one transaction, all ties (JN16).
 
-    Exact for any basket size:
+    Exact for any basket size. The distinct (transaction, product) pairs are written once to the shared folder, and two
+    single numbers decide how to go on:
 
     1. Counting only the ``seed_items`` most frequent products gives a triple count that is really reached. Products in
        fewer transactions than that cannot be part of a better triple and are dropped.
     2. Baskets with up to ``max_items`` remaining products are expanded into triples row by row.
-    3. Larger baskets are not expanded. They add at most one each, so only the triples of step 2 that could still win
-       are looked up in them.
-    4. Triples that occur in large baskets alone can win only if there are at least as many large baskets as the best
-       count so far; only then are their products, pruned by that count, combined.
+    3. Larger baskets, if any, are not expanded. See ``_with_large_baskets``.
     """
-    items = lines.filter(F.col("quantity") >= 1).select(F.col("txn_id").alias("_t"), F.col("product_id").alias("_i")).distinct()
+    pairs = lines.filter(F.col("quantity") >= 1).select(F.col("txn_id").alias("_t"), F.col("product_id").alias("_i"))
+    items = stage(pairs.distinct(), "basket-items")
     support = items.groupBy("_i").agg(F.count(F.lit(1)).alias("_s"))
     seed = support.orderBy(F.desc("_s"), "_i").limit(seed_items).select("_i")
-    reached = _triples(_sets(items.join(F.broadcast(seed), "_i"))).agg(F.coalesce(F.max("n"), F.lit(1))).scalar()
-    kept = items.join(support.filter(F.col("_s") >= reached).select("_i"), "_i", "left_semi")
+    reached = _triples(_sets(items.join(F.broadcast(seed), "_i"))).agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
+    kept = items if reached <= 1 else items.join(support.filter(F.col("_s") >= reached).select("_i"), "_i", "left_semi")
 
-    sizes = kept.groupBy("_t").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= 3)
+    sizes = kept.groupBy("_t").agg(F.count(F.lit(1)).alias("_n"))
     large_ids = sizes.filter(F.col("_n") > max_items).select("_t")
-    large_count = large_ids.agg(F.count("_t")).scalar()
-    large = kept.join(large_ids, "_t", "left_semi")
-    small = kept.join(sizes.filter(F.col("_n") <= max_items).select("_t"), "_t", "left_semi")
+    large_count = large_ids.count()
+    if large_count:
+        totals = _with_large_baskets(kept, large_ids, large_count)
+    else:
+        totals = _triples(_sets(kept))
+    most = totals.agg(F.max("n")).scalar()
+    return totals.filter(F.col("n") == most).select(
+        F.col("a").alias("product_1"), F.col("b").alias("product_2"), F.col("c").alias("product_3"),
+        F.col("n").alias("transactions"),
+    )
+
+
+def _with_large_baskets(kept: DataFrame, large_ids: DataFrame, large_count: int) -> DataFrame:
+    """Counts of every triple that could be the most frequent one when some baskets are too large to expand.
 
-    counted = _triples(_sets(small))
-    best = counted.agg(F.coalesce(F.max("n"), F.lit(0))).scalar()
+    A large basket adds at most one to a triple. So only the triples of the other baskets that could still win are
+    looked up in the large ones. Triples that occur in large baskets alone can win only if there are at least as many
+    large baskets as the best count so far; only then are their products, pruned by that count, combined.
+    """
+    large = kept.join(large_ids, "_t", "left_semi")
+    small = kept.join(large_ids, "_t", "left_anti")
+    counted = stage(_triples(_sets(small)), "basket-triples")
+    best = counted.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
     near = counted.filter(F.col("n") >= best - large_count)
     probe = near.select("a", "b", "c", F.explode(F.array("a", "b", "c")).alias("_i")).join(large, "_i")
     in_large = probe.groupBy("a", "b", "c", "_t").agg(F.count(F.lit(1)).alias("_h")).filter("_h = 3")
-    extra = in_large.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"))
-
-    needed = F.greatest(best, F.lit(1))
-    strong = large.groupBy("_i").agg(F.count(F.lit(1)).alias("_s")).filter((F.col("_s") >= needed) & (large_count >= needed))
-    pruned = large.join(strong.select("_i"), "_i", "left_semi")
-    b, c = (pruned.select("_t", F.col("_i").alias(n)) for n in ("b", "c"))
-    alone = (
-        pruned.withColumnRenamed("_i", "a").join(b, "_t").filter("a < b").join(c, "_t").filter("b < c")
-        .groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") >= needed)
-        .join(counted.select("a", "b", "c"), ["a", "b", "c"], "left_anti")
-    )
-    totals = near.unionByName(extra).unionByName(alone).groupBy("a", "b", "c").agg(F.sum("n").alias("transactions"))
-    most = totals.agg(F.max("transactions")).scalar()
-    return totals.filter(F.col("transactions") == most).select(
-        F.col("a").alias("product_1"), F.col("b").alias("product_2"), F.col("c").alias("product_3"), "transactions"
-    )
+    found = near.unionByName(in_large.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n")))
+    needed = max(best, 1)
+    if large_count >= needed:
+        strong = large.groupBy("_i").agg(F.count(F.lit(1)).alias("_s")).filter(F.col("_s") >= needed).select("_i")
+        pruned = large.join(strong, "_i", "left_semi")
+        second, third = (pruned.select("_t", F.col("_i").alias(n)) for n in ("b", "c"))
+        alone = (
+            pruned.withColumnRenamed("_i", "a").join(second, "_t").filter("a < b").join(third, "_t").filter("b < c")
+            .groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= needed)
+        )
+        found = found.unionByName(alone.join(counted.select("a", "b", "c"), ["a", "b", "c"], "left_anti"))
+    return found.groupBy("a", "b", "c").agg(F.sum("n").alias("n"))

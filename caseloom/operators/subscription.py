@@ -6,7 +6,7 @@ ordered windows below see at most one row per customer and day.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, WindowSpec, functions as F
 
 from ..functions import mean, month_of, percent
 
@@ -20,7 +20,9 @@ PLANS = [
 ]
 TRIAL, BASIC, PRO_MONTHLY, PRO_ANNUAL, CHURN = (p[0] for p in PLANS)
 
-BY_START = Window.partitionBy("customer_id").orderBy("start_date")
+
+def by_start() -> WindowSpec:
+    return Window.partitionBy("customer_id").orderBy("start_date")
 
 
 def plan_table(spark) -> DataFrame:
@@ -64,7 +66,7 @@ def transitions(subs: DataFrame) -> DataFrame:
     """Each change with the plan that follows it (WN15); the last change of a customer has none."""
     changes = state_changes(subs)
     return changes.withColumns({
-        "next_plan_id": F.lead("plan_id").over(BY_START), "next_start_date": F.lead("start_date").over(BY_START)
+        "next_plan_id": F.lead("plan_id").over(by_start()), "next_start_date": F.lead("start_date").over(by_start())
     })
 
 
@@ -82,7 +84,7 @@ def next_state(subs: DataFrame, plans: DataFrame) -> DataFrame:
 
 def after_initial_trial(subs: DataFrame, plans: DataFrame, plan: int = TRIAL) -> DataFrame:
     """What customers that start with the trial choose next: count and percentage of customers (WN15, AG29)."""
-    first = transitions(subs).withColumn("_at", F.row_number().over(BY_START)).filter(
+    first = transitions(subs).withColumn("_at", F.row_number().over(by_start())).filter(
         (F.col("_at") == 1) & (F.col("plan_id") == plan) & F.col("next_plan_id").isNotNull()
     )
     counts = first.groupBy("next_plan_id").agg(F.count(F.lit(1)).alias("customers"))
@@ -167,8 +169,8 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: str) -> DataFra
     From pro monthly to annual, the annual plan is charged at the next billing date.
     """
     priced = transitions(subs).join(plans, "plan_id").withColumns({
-        "_prev": F.lag("plan_id").over(BY_START), "_prev_start": F.lag("start_date").over(BY_START),
-        "_prev_price": F.lag("price").over(BY_START),
+        "_prev": F.lag("plan_id").over(by_start()), "_prev_start": F.lag("start_date").over(by_start()),
+        "_prev_price": F.lag("price").over(by_start()),
     })
     months_on = (F.year("start_date") - F.year("_prev_start")) * 12 + F.month("start_date") - F.month("_prev_start")
     billing = F.add_months("_prev_start", months_on)
