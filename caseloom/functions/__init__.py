@@ -1,6 +1,6 @@
 """Column-level helpers: each takes and returns Spark columns, and stays inside code generation."""
 
-from .aggregates import int_avg, mean, money_text, percent, safe_ratio
+from .aggregates import int_avg, mean, money_text, percent, rounded_ratio, safe_ratio
 from .dates import anchored_week, calendar_week, minute_boundaries, month_of, sunday_week, weekday_name
 from .text import (
     blank_to_null,
@@ -16,6 +16,6 @@ from .text import (
 
 __all__ = [
     "anchored_week", "blank_to_null", "calendar_week", "ci_equals", "fraction_part", "has_text", "int_avg", "mean",
-    "minute_boundaries", "money_text", "month_of", "month_start_from_text", "percent", "safe_ratio", "split_list",
-    "strip_units", "sunday_week", "trimmed_length", "weekday_name", "without_fraction",
+    "minute_boundaries", "money_text", "month_of", "month_start_from_text", "percent", "rounded_ratio",
+    "safe_ratio", "split_list", "strip_units", "sunday_week", "trimmed_length", "weekday_name", "without_fraction",
 ]

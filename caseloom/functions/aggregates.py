@@ -20,6 +20,12 @@ def safe_ratio(a: Column, b: Column) -> Column:
     return a.cast("double") / F.nullif(b.cast("double"), F.lit(0.0))
 
 
+def rounded_ratio(a: Column, b: Column, digits: int = 2) -> Column:
+    """``a / b`` for money: divided in decimals and rounded half away from zero, NULL when ``b`` is zero (CLN11)."""
+    exact = a.cast("decimal(28,6)") / F.nullif(b.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
+    return F.round(exact, digits).cast(f"decimal(28,{digits})")
+
+
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
     """``100 * part / whole`` rounded half away from zero, NULL when ``whole`` is zero (AG13)."""
     return F.round(F.lit(100.0) * part.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)), digits)

@@ -11,7 +11,7 @@ from ..functions import (
     calendar_week,
     fraction_part,
     month_start_from_text,
-    safe_ratio,
+    rounded_ratio,
     strip_units,
     without_fraction,
 )
@@ -100,5 +100,5 @@ def clean_weekly(weekly: DataFrame, date_format: str = "d/M/yy") -> DataFrame:
         "customer_type",
         "transactions",
         "sales",
-        F.round(safe_ratio(F.col("sales"), F.col("transactions")), 2).alias("avg_transaction"),
+        rounded_ratio(F.col("sales"), F.col("transactions")).alias("avg_transaction"),
     )

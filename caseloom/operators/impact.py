@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions import anchored_week, mean, percent, safe_ratio, weekday_name
+from ..functions import anchored_week, percent, rounded_ratio, weekday_name
 
 DIMENSIONS = ("region", "platform", "age_band", "demographic", "customer_type")
 
@@ -55,10 +55,9 @@ def top_contributors(weekly: DataFrame, by: Sequence[str], platform: str, n: int
 
 def weighted_average(weekly: DataFrame, by: Sequence[str] = ("calendar_year", "platform")) -> DataFrame:
     """Average transaction from the totals, next to the mean of the per-row averages it must not be confused with (AG32)."""
-    per_row = F.col("avg_transaction").cast("decimal(18,2)")
     return weekly.groupBy(*by).agg(
-        F.round(safe_ratio(F.sum("sales"), F.sum("transactions")), 2).alias("avg_transaction"),
-        F.round(mean(per_row), 2).alias("mean_of_averages"),
+        rounded_ratio(F.sum("sales"), F.sum("transactions")).alias("avg_transaction"),
+        rounded_ratio(F.sum("avg_transaction"), F.count("avg_transaction")).alias("mean_of_averages"),
     )
 
 
