@@ -185,11 +185,11 @@ def conversion_rates(products: DataFrame) -> DataFrame:
     )
 
 
-def cart_products(events: DataFrame, pages: DataFrame) -> DataFrame:
+def cart_products(events: DataFrame, pages: DataFrame, visit: Sequence[str] = ("visit_id",)) -> DataFrame:
     """Names of the pages added to the cart per visit, in sequence order (AG16)."""
     named = events.filter(is_type(CART)).join(pages.select("page_id", "page_name"), "page_id")
     names = F.expr("listagg(page_name, ', ') WITHIN GROUP (ORDER BY sequence_number)")
-    return named.groupBy("visit_id").agg(names.alias("cart_products"))
+    return named.groupBy(*visit).agg(names.alias("cart_products"))
 
 
 def visit_summary(events: DataFrame, pages: DataFrame, campaigns: DataFrame) -> DataFrame:
@@ -197,21 +197,17 @@ def visit_summary(events: DataFrame, pages: DataFrame, campaigns: DataFrame) ->
 
     The campaign is the earliest one running at the visit's start. Events on unknown pages still count.
     """
-    named = events.join(pages.select("page_id", "page_name"), "page_id", "left")
-    cart_names = F.expr(
-        f"listagg(CASE WHEN event_type = {CART} THEN page_name END, ', ') WITHIN GROUP (ORDER BY sequence_number)"
-    )
-    visits = named.groupBy("user_id", "visit_id").agg(
+    # The counts are hash aggregated over all events; only cart adds meet the pages and are gathered as text.
+    visits = events.groupBy("user_id", "visit_id").agg(
         F.min("event_time").alias("visit_start_time"),
         F.count_if(is_type(VIEW)).alias("page_views"),
         F.count_if(is_type(CART)).alias("cart_adds"),
         F.max(F.when(is_type(PURCHASE), 1).otherwise(0)).alias("purchase"),
         F.count_if(is_type(IMPRESSION)).alias("impression"),
         F.count_if(is_type(CLICK)).alias("click"),
-        cart_names.alias("cart_products"),
     )
-    return first_interval(visits, ["user_id", "visit_id"], campaigns, "visit_start_time", "start_date", "end_date",
-                          "campaign_name")
+    placed = first_interval(visits, campaigns, "visit_start_time", "start_date", "end_date", "campaign_name")
+    return placed.join(cart_products(events, pages, ["user_id", "visit_id"]), ["user_id", "visit_id"], "left")
 
 
 def campaign_uplift(visits: DataFrame) -> DataFrame:

@@ -116,43 +116,33 @@ def order_statistics(df: DataFrame, value: str, fractions: Sequence[float], cell
     """Exact interpolated percentiles of an integer column as one row ``p<percent>`` per fraction (AG24).
 
     Two counting passes replace the global sort. The first counts values in at most ``cells`` + 1 equal cells and
-    finds the cells that hold the wanted ranks. The second counts the distinct values of those cells only. No task
-    ever holds more than one row per cell or per distinct value of a cell.
+    finds the cells that hold the wanted ranks. The second counts the distinct values of those cells only. Rows are
+    combined before every shuffle; what is shuffled is one row per cell, then one per distinct value of a few cells.
     """
-    bounds = df.agg(F.struct(F.min(value).alias("lo"), F.max(value).alias("hi")).alias("b")).scalar()
+    present = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("_v"))
+    bounds = present.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("b")).scalar()
     width = F.floor((bounds["hi"] - bounds["lo"]) / cells) + 1
-    celled = df.filter(F.col(value).isNotNull()).select(
-        F.col(value).alias("_v"), F.floor((F.col(value) - bounds["lo"]) / width).alias("_cell")
-    )
-    # The same counts feed both passes, so the input is aggregated to its distinct values once per pass.
-    by_value = celled.groupBy("_cell", "_v").agg(F.count(F.lit(1)).alias("_n"))
-    by_cell = by_value.groupBy("_cell").agg(F.sum("_n").alias("_n"))
-    up_to = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    celled = present.withColumn("_cell", F.floor((F.col("_v") - bounds["lo"]) / width))
+    by_cell = celled.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
     total = by_cell.agg(F.sum("_n")).scalar()
-    wanted = F.array(*[
-        F.struct(
-            F.lit(f).alias("f"),
-            F.floor(F.lit(f) * (total - 1)).alias("k"),
-            (F.lit(f) * (total - 1) - F.floor(F.lit(f) * (total - 1))).alias("part"),
-        )
-        for f in fractions
-    ])
-    placed = by_cell.withColumn("_before", F.sum("_n").over(up_to) - F.col("_n")).select(
-        "_cell", "_before", "_n", F.explode(wanted).alias("_w")
-    )
-    hits = placed.select("_cell", "_before", F.explode(F.array(
-        F.struct(F.col("_w.f").alias("f"), F.col("_w.k").alias("k"), (1 - F.col("_w.part")).alias("weight")),
-        F.struct(F.col("_w.f").alias("f"), (F.col("_w.k") + 1).alias("k"), F.col("_w.part").alias("weight")),
-    )).alias("_t"), "_n").filter((F.col("_t.k") >= F.col("_before")) & (F.col("_t.k") < F.col("_before") + F.col("_n")))
-    inside = Window.partitionBy("_cell", "_t.f", "_t.k").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    found = (
-        by_value.withColumnRenamed("_n", "_m")
-        .join(hits.select("_cell", "_before", "_t"), "_cell")
-        .withColumn("_upto", F.col("_before") + F.sum("_m").over(inside))
-        .filter((F.col("_t.k") < F.col("_upto")) & (F.col("_t.k") >= F.col("_upto") - F.col("_m")))
+    # Each fraction needs the values at two neighbouring ranks, counted from zero, and their weights.
+    targets = []
+    for f in fractions:
+        position = F.lit(f) * (total - 1)
+        low = F.floor(position)
+        for rank, weight in ((low, 1 - (position - low)), (low + 1, position - low)):
+            targets.append(F.struct(F.lit(f).alias("f"), rank.alias("k"), weight.alias("weight")))
+    up_to = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = by_cell.withColumn("_before", F.sum("_n").over(up_to) - F.col("_n"))
+    hits = placed.select("_cell", "_n", "_before", F.explode(F.array(*targets)).alias("_t")).filter(
+        (F.col("_t.k") >= F.col("_before")) & (F.col("_t.k") < F.col("_before") + F.col("_n"))
+    ).select("_cell", "_before", "_t.*")
+    # Two rows per fraction: small enough to send to every task.
+    counts = celled.join(F.broadcast(hits), "_cell").groupBy("_cell", "_before", "f", "k", "weight", "_v").agg(
+        F.count(F.lit(1)).alias("_m")
     )
-    return found.groupBy(F.col("_t.f").alias("fraction")).agg(
-        F.sum(F.col("_t.weight") * F.col("_v").cast("double")).alias("value")
+    inside = Window.partitionBy("f", "k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = counts.withColumn("_upto", F.col("_before") + F.sum("_m").over(inside)).filter(
+        (F.col("k") < F.col("_upto")) & (F.col("k") >= F.col("_upto") - F.col("_m"))
     )
+    return found.groupBy(F.col("f").alias("fraction")).agg(F.sum(F.col("weight") * F.col("_v").cast("double")).alias("value"))

@@ -70,30 +70,38 @@ def nearest_rank(df: DataFrame, group: Sequence[str], value: str,
     return reached.select(*group, F.col("_t.label").alias("percentile"), F.col(value))
 
 
+def spread_over_days(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str) -> DataFrame:
+    """One row per interval and day (``_iday``) it touches, cut to the days that occur in ``points``."""
+    day = F.col(at).cast("date")
+    seen = points.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("s")).scalar()
+    first = F.greatest(F.col(start).cast("date"), seen["lo"])
+    last = F.least(F.col(end).cast("date"), seen["hi"])
+    cut = intervals.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
+    return cut.withColumn("_iday", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+
+
 def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str) -> DataFrame:
-    """Left join of timestamps to the intervals that hold them, both ends included (JN6).
+    """Left join of timestamps to every interval that holds them, both ends included (JN6).
 
-    Intervals are cut to the dates that occur in ``points`` and spread over days, so the join is an equi-join on the
-    day with the exact bounds rechecked; it can be shuffled, and a day with many rows can be split.
+    An equi-join on the day with the exact bounds rechecked: it can be broadcast, shuffled or split like any other
+    join, whatever the number of intervals.
     """
-    seen = points.agg(F.struct(F.min(F.col(at).cast("date")).alias("lo"), F.max(F.col(at).cast("date")).alias("hi")).alias("s")).scalar()
-    first = F.greatest(F.col(start).cast("date"), seen["lo"])
-    last = F.least(F.col(end).cast("date"), seen["hi"])
-    per_day = (
-        intervals.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
-        .withColumn("_iday", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
-    )
+    per_day = spread_over_days(points, intervals, at, start, end)
     on = (F.col("_day") == F.col("_iday")) & F.col(at).between(F.col(start), F.col(end))
     return points.withColumn("_day", F.col(at).cast("date")).join(per_day, on, "left").drop("_day", "_iday")
 
 
-def first_interval(points: DataFrame, key: Sequence[str], intervals: DataFrame, at: str, start: str, end: str,
-                   name: str) -> DataFrame:
-    """One row per point with the name of the earliest-starting interval that holds it, NULL for none.
+def first_interval(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, name: str) -> DataFrame:
+    """Every point once, with the name of the earliest-starting interval that holds it or NULL.
 
-    ``key`` identifies a point.
+    Among the intervals of a day, one is the earliest at a moment only after all that started before it have ended. So
+    each keeps the part after their latest end, the parts do not overlap, and the join adds no rows.
     """
-    joined = interval_join(points, intervals.select(name, start, end), at, start, end)
-    pick = F.min(F.when(F.col(name).isNotNull(), F.struct(F.col(start), F.col(name)))).getField(name)
-    others = [c for c in points.columns if c not in key]
-    return joined.groupBy(*key).agg(*[F.any_value(c).alias(c) for c in others], pick.alias(name))
+    started_before = Window.partitionBy("_iday").orderBy(start, name).rowsBetween(Window.unboundedPreceding, -1)
+    parts = spread_over_days(points, intervals.select(name, start, end), at, start, end).select(
+        "_iday", F.col(start).alias("_from"), F.col(end).alias("_to"), F.max(end).over(started_before).alias("_busy"), name
+    )
+    moment = F.col(at)
+    inside = moment.between(F.col("_from"), F.col("_to")) & (F.col("_busy").isNull() | (moment > F.col("_busy")))
+    joined = points.withColumn("_day", moment.cast("date")).join(parts, (F.col("_day") == F.col("_iday")) & inside, "left")
+    return joined.drop("_day", "_iday", "_from", "_to", "_busy")

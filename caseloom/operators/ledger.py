@@ -31,14 +31,16 @@ def totals_by_type(txns: DataFrame) -> DataFrame:
 
 
 def deposit_averages(txns: DataFrame) -> DataFrame:
-    """Average over customers of their deposit count and mean deposit, next to the overall mean (AG11)."""
+    """Average over customers of their deposit count and mean deposit, truncated and exact, and the overall mean (AG11)."""
     per_customer = txns.filter(F.col("txn_type") == DEPOSIT).groupBy(*KEY).agg(
         F.count(F.lit(1)).alias("n"), F.sum("txn_amount").alias("s")
     )
+    own_mean_int = F.call_function("div", F.col("s"), F.col("n"))
     own_mean = F.round(F.col("s").cast("double") / F.col("n"), 4).cast("decimal(24,4)")
     return per_customer.agg(
         int_avg(F.col("n")).alias("avg_count_int"),
         mean(F.col("n")).alias("avg_count"),
+        int_avg(own_mean_int).alias("avg_of_averages_int"),
         mean(own_mean).alias("avg_of_averages"),
         safe_ratio(F.sum("s"), F.sum("n")).alias("overall_average"),
     )
@@ -63,16 +65,21 @@ def running_balance(txns: DataFrame) -> DataFrame:
     return join_back(signed_amount(txns), daily, [*KEY, "txn_date"])
 
 
-def running_balance_per_row(txns: DataFrame, order_by: Sequence[str] = ("txn_date", "txn_id")) -> DataFrame:
-    """Every transaction with the balance right after it; ``order_by`` must be unique per customer and start with the
-    date. Only the rows of one customer and day are ever windowed together."""
-    per_day = steps(txns, KEY, "txn_date", signed())
-    earlier = per_day.select(*KEY, "txn_date", (F.col("running") - F.col("net")).alias("_earlier"))
-    in_day = Window.partitionBy(*KEY, "txn_date").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
-    rows = signed_amount(txns).withColumn("_so_far", F.sum("signed_amount").over(in_day))
-    return join_back(rows, earlier, [*KEY, "txn_date"]).withColumn(
+def running_balance_per_row(txns: DataFrame, order_by: Sequence[str] = ("txn_date", "txn_id"),
+                            slice_by: Column | None = None) -> DataFrame:
+    """Every transaction with the balance right after it; ``order_by`` must be unique per customer.
+
+    Only the rows of one customer and slice are windowed together. ``slice_by`` must not decrease along the order; it
+    is the date by default, an hour or minute for very busy customers.
+    """
+    sliced = signed_amount(txns).withColumn("_slice", F.col("txn_date") if slice_by is None else slice_by)
+    per_slice = steps(sliced, KEY, "_slice", F.col("signed_amount"))
+    earlier = per_slice.select(*KEY, "_slice", (F.col("running") - F.col("net")).alias("_earlier"))
+    inside = Window.partitionBy(*KEY, "_slice").orderBy(*order_by).rowsBetween(Window.unboundedPreceding, 0)
+    rows = sliced.withColumn("_so_far", F.sum("signed_amount").over(inside))
+    return join_back(rows, earlier, [*KEY, "_slice"]).withColumn(
         "running_balance", F.col("_earlier") + F.col("_so_far")
-    ).drop("_earlier", "_so_far")
+    ).drop("_earlier", "_so_far", "_slice")
 
 
 def closing_balance(txns: DataFrame, densify: bool = False) -> DataFrame:
@@ -124,6 +131,7 @@ def balance_stats(txns: DataFrame) -> DataFrame:
     daily = steps(txns, KEY, "txn_date", signed())
     return daily.groupBy(*KEY).agg(
         F.min("running").alias("min_balance"),
+        F.call_function("div", F.sum(F.col("running") * F.col("n")), F.sum("n")).alias("avg_balance_int"),
         (F.sum(F.col("running") * F.col("n")).cast("double") / F.sum("n")).alias("avg_balance"),
         F.max("running").alias("max_balance"),
     )
@@ -150,11 +158,15 @@ def monthly_provision(txns: DataFrame, densify: bool = False) -> DataFrame:
 
 def moving_average_rows(txns: DataFrame, rows: int = 30, order_by: Sequence[str] = ("txn_date", "txn_id"),
                         slice_by: Column | None = None, chunk_rows: int = 100_000) -> DataFrame:
-    """Average signed amount over the last ``rows`` transactions of the customer, this one included (WN12)."""
+    """Average signed amount over the last ``rows`` transactions of the customer, this one included (WN12),
+    exact and truncated."""
     return rows_frame(
         signed_amount(txns), KEY, order_by, F.col("txn_date") if slice_by is None else slice_by, rows - 1,
         {"_s": F.sum("signed_amount"), "_n": F.count("signed_amount")}, chunk_rows,
-    ).withColumn("moving_avg", F.col("_s").cast("double") / F.col("_n")).drop("_s", "_n")
+    ).withColumns({
+        "moving_avg": F.col("_s").cast("double") / F.col("_n"),
+        "moving_avg_int": F.call_function("div", F.col("_s"), F.col("_n")),
+    }).drop("_s", "_n")
 
 
 def moving_average_days(txns: DataFrame, days: int = 30) -> DataFrame:

@@ -106,10 +106,12 @@ def changes_between(subs: DataFrame, before: int, after: int, start: str, end: s
 
 def state_as_of(subs: DataFrame, plans: DataFrame, day: str) -> DataFrame:
     """Customers per plan on a day, with percentages (WN16). One aggregation picks each customer's latest change."""
+    # Date and plan in one number, so the pick is a hash aggregate; the lowest plan id wins a day with several.
+    position = F.unix_date("start_date").cast("long") * 2**32 - F.col("plan_id")
     latest = subs.filter(F.col("start_date") <= F.lit(day).cast("date")).groupBy("customer_id").agg(
-        F.max(F.struct(F.col("start_date"), (-F.col("plan_id")).alias("p"))).alias("_s")
+        F.max_by("plan_id", position).alias("plan_id")
     )
-    counts = latest.groupBy((-F.col("_s.p")).alias("plan_id")).agg(F.count(F.lit(1)).alias("customers"))
+    counts = latest.groupBy("plan_id").agg(F.count(F.lit(1)).alias("customers"))
     total = counts.agg(F.sum("customers")).scalar()
     return counts.join(plans, "plan_id").select(
         "plan_id", "plan_name", "customers", percent(F.col("customers"), total, 1).alias("percent_of_customers")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators import ledger as op
 from ..sources.schemas import DATA_TABLES, schema
 from ..sources.views import Views
@@ -18,6 +20,11 @@ def realtime_balance(v: Views):
     return run_balance_stream(v.wallet_rows(stream))
 
 
+def hour_slice():
+    """Hours since the start of 1970 by the clock, a fine slice for busy wallets."""
+    return F.unix_date(F.col("txn_date")) * 24 + F.hour("txn_time")
+
+
 SIGNED = "CAST(net AS DOUBLE) AS signed_amount"
 ROW = "customer_id, txn_date, txn_type, CAST(txn_amount AS DOUBLE) AS txn_amount, txn_id"
 
@@ -27,6 +34,7 @@ QUERIES = {
         SELECT txn_type, count(*) AS txns, CAST(sum(txn_amount) AS DOUBLE) AS total_amount FROM txns GROUP BY 1""")),
     "avg_of_sums": (lambda v: op.deposit_averages(v.txns), with_views("txns", """
         SELECT CAST(sum(n) // count(*) AS BIGINT) AS avg_count_int, sum(n) / count(*) AS avg_count,
+          CAST(floor(sum(floor(CAST(s AS DOUBLE) / n)) / count(*)) AS BIGINT) AS avg_of_averages_int,
           CAST(sum(CAST(round(CAST(s AS DOUBLE) / n, 4) AS DECIMAL(24,4))) AS DOUBLE) / count(*) AS avg_of_averages,
           CAST(sum(s) AS DOUBLE) / sum(n) AS overall_average
         FROM (SELECT customer_id, count(*) AS n, sum(txn_amount) AS s FROM txns WHERE txn_type = 'deposit' GROUP BY 1)""")),
@@ -41,7 +49,7 @@ QUERIES = {
     "running_balance": (lambda v: op.running_balance(v.txns), with_views("txns", f"""
         SELECT {ROW}, {SIGNED}, CAST(sum(net) OVER (PARTITION BY customer_id ORDER BY txn_date) AS DOUBLE) AS running_balance FROM txns""")),
     "running_balance_per_row": (
-        lambda v: op.running_balance_per_row(v.wallet, ["txn_time", "txn_id"]), with_views("wallet", f"""
+        lambda v: op.running_balance_per_row(v.wallet, ["txn_time", "txn_id"], hour_slice()), with_views("wallet", f"""
         SELECT {ROW}, txn_time, {SIGNED}, CAST(sum(net) OVER (PARTITION BY customer_id ORDER BY txn_time, txn_id
           ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS running_balance FROM wallet""")),
     "closing_balance": (lambda v: op.closing_balance(v.txns), with_views("closing", """
@@ -68,7 +76,7 @@ QUERIES = {
           SELECT nxt > closing_balance AND round(CAST(nxt AS DOUBLE) / CAST(closing_balance AS DOUBLE) - 1, 2) > 0.05 AS up FROM led)""")),
     "balance_stats": (lambda v: op.balance_stats(v.txns), with_views("txns", """
         SELECT customer_id, CAST(min(b) AS DOUBLE) AS min_balance, CAST(sum(b) AS DOUBLE) / count(*) AS avg_balance,
-          CAST(max(b) AS DOUBLE) AS max_balance
+          CAST(trunc(CAST(sum(b) AS DOUBLE) / count(*)) AS BIGINT) AS avg_balance_int, CAST(max(b) AS DOUBLE) AS max_balance
         FROM (SELECT customer_id, sum(net) OVER (PARTITION BY customer_id ORDER BY txn_date) AS b FROM txns) GROUP BY 1""")),
     "balance_stats_rows": (lambda v: op.balance_stats_rows(v.txns), with_views("txns", f"""
         SELECT {ROW}, CAST(b AS DOUBLE) AS running_balance, CAST(min(b) OVER w AS DOUBLE) AS min_balance,
@@ -78,8 +86,9 @@ QUERIES = {
     "monthly_provision": (lambda v: op.monthly_provision(v.txns), with_views("closing", """
         SELECT txn_month AS month, CAST(sum(closing_balance) AS DOUBLE) AS provision FROM closing GROUP BY 1""")),
     "moving_avg_rows": (
-        lambda v: op.moving_average_rows(v.wallet, 30, ["txn_time", "txn_id"]), with_views("wallet", f"""
-        SELECT {ROW}, txn_time, {SIGNED}, CAST(sum(net) OVER w AS DOUBLE) / count(*) OVER w AS moving_avg FROM wallet
+        lambda v: op.moving_average_rows(v.wallet, 30, ["txn_time", "txn_id"], hour_slice()), with_views("wallet", f"""
+        SELECT {ROW}, txn_time, {SIGNED}, CAST(sum(net) OVER w AS DOUBLE) / count(*) OVER w AS moving_avg,
+          CAST(trunc(CAST(sum(net) OVER w AS DOUBLE) / count(*) OVER w) AS BIGINT) AS moving_avg_int FROM wallet
         WINDOW w AS (PARTITION BY customer_id ORDER BY txn_time, txn_id ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)""")),
     "moving_avg_days": (lambda v: op.moving_average_days(v.txns, 30), with_views("txns", f"""
         SELECT {ROW}, {SIGNED}, CAST(sum(net) OVER w AS DOUBLE) / count(*) OVER w AS moving_avg FROM txns

@@ -52,7 +52,7 @@ def test_interval_join_matches_every_interval(spark):
     assert rows(op.interval_join(points, intervals, "at", "s", "e"), "id", "name") == [
         (1, "whole"), (2, "second"), (2, "whole"), (3, "days"), (3, "whole"), (4, "whole"), (5, None)
     ]
-    first = op.first_interval(points, ["id"], intervals.filter("name != 'whole'"), "at", "s", "e", "name")
+    first = op.first_interval(points, intervals.filter("name != 'whole'"), "at", "s", "e", "name")
     assert rows(first, "id", "name") == [(1, None), (2, "second"), (3, "days"), (4, None), (5, None)]
 
 
