@@ -62,8 +62,8 @@ def member_baskets(lines: DataFrame) -> DataFrame:
 
 def basket_percentiles(lines: DataFrame, fractions: Sequence[float] = (0.25, 0.5, 0.75)) -> DataFrame:
     """Interpolated percentiles of revenue per transaction (AG24), exact at any size."""
-    cents = lines.groupBy("txn_id").agg((F.sum(gross()) * 100).cast("long").alias("cents"))
-    found = order_statistics(cents, "cents", fractions)
+    cents = lines.groupBy("txn_id").agg((F.sum(gross()) * 100).cast("long").alias("cents")).select("cents")
+    found = order_statistics(stage(cents, "basket-revenue"), "cents", fractions)
     return found.select("fraction", F.round(F.col("value") / 100, 4).alias("revenue"))
 
 

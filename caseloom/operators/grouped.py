@@ -113,25 +113,25 @@ def not_in(df: DataFrame, col: str, listed: DataFrame, listed_col: str) -> DataF
 
 
 def order_statistics(df: DataFrame, value: str, fractions: Sequence[float], cells: int = 4096) -> DataFrame:
-    """Exact interpolated percentiles of an integer column as one row ``p<percent>`` per fraction (AG24).
+    """Exact interpolated percentiles of an integer column, one row per fraction (AG24).
 
+    Reads ``df`` three times (the bounds at once, when called), so pass a stored or cheap one.
     Two counting passes replace the global sort. The first counts values in at most ``cells`` + 1 equal cells and
     finds the cells that hold the wanted ranks. The second counts the distinct values of those cells only. Rows are
     combined before every shuffle; what is shuffled is one row per cell, then one per distinct value of a few cells.
     """
     present = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("_v"))
-    bounds = present.agg(F.struct(F.min("_v").alias("lo"), F.max("_v").alias("hi")).alias("b")).scalar()
-    width = F.floor((bounds["hi"] - bounds["lo"]) / cells) + 1
-    celled = present.withColumn("_cell", F.floor((F.col("_v") - bounds["lo"]) / width))
+    least, most, total = present.agg(F.min("_v"), F.max("_v"), F.count("_v")).first()
+    least, most = least or 0, most or 0
+    width = (most - least) // cells + 1
+    celled = present.withColumn("_cell", F.floor((F.col("_v") - least) / width))
     by_cell = celled.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
-    total = by_cell.agg(F.sum("_n")).scalar()
     # Each fraction needs the values at two neighbouring ranks, counted from zero, and their weights.
     targets = []
     for f in fractions:
-        position = F.lit(f) * (total - 1)
-        low = F.floor(position)
-        for rank, weight in ((low, 1 - (position - low)), (low + 1, position - low)):
-            targets.append(F.struct(F.lit(f).alias("f"), rank.alias("k"), weight.alias("weight")))
+        low, part = divmod(f * (total - 1), 1)
+        for rank, weight in ((low, 1 - part), (low + 1, part)):
+            targets.append(F.struct(*[F.lit(x).alias(n) for x, n in ((f, "f"), (int(rank), "k"), (weight, "weight"))]))
     up_to = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = by_cell.withColumn("_before", F.sum("_n").over(up_to) - F.col("_n"))
     hits = placed.select("_cell", "_n", "_before", F.explode(F.array(*targets)).alias("_t")).filter(

@@ -103,13 +103,10 @@ def top_and_bottom(metrics: DataFrame, value: str = "composition", k: int = 10)
     best = metrics.filter(F.col("month_year").isNotNull()).groupBy("interest_id").agg(
         F.max(F.struct(F.col(value).alias("v"), F.col("month_year").alias("m"))).alias("_b")
     ).select("interest_id", F.col("_b.m").alias("month_year"), F.col("_b.v").alias("max_value"))
-    ends = {"top": False, "bottom": True}
-    ranked = [
-        best.join(F.broadcast(top_values(best, "max_value", k, ascending)), "max_value")
-        .select(F.lit(end).alias("side"), "interest_id", "month_year", "max_value", "rnk")
-        for end, ascending in ends.items()
-    ]
-    return ranked[0].unionByName(ranked[1])
+    ends = [top_values(best, "max_value", k, bottom).withColumn("side", F.lit(side)) for side, bottom in (("top", False), ("bottom", True))]
+    # At most 2 * k ranked values.
+    ranked = best.join(F.broadcast(ends[0].unionByName(ends[1])), "max_value")
+    return ranked.select("side", "interest_id", "month_year", "max_value", "rnk")
 
 
 def lowest_average(metrics: DataFrame, value: str = "ranking", n: int = 5) -> DataFrame:

@@ -13,7 +13,7 @@ from caseloom.streaming import balance
 from .conftest import rows
 
 
-def test_all_declared_schemas_parse():
+def test_all_declared_schemas_parse(spark):
     for ddl in CASE_TABLES.values():
         assert schema(ddl).fields
 

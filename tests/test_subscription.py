@@ -72,10 +72,7 @@ def test_states_and_counts(subs, plans):
         ("basic monthly", 2), ("churn", 1), ("pro annual", 3), ("pro monthly", 1)
     ]
     assert rows(op.starts_after(subs, plans, "2020-12-31")) == [(2, "pro monthly", 1)]
-    assert rows(op.starts_by_month(subs)) == [
-        (d("2020-03-01"), 1), (d("2020-05-01"), 1), (d("2020-06-01"), 1), (d("2020-07-01"), 1), (d("2020-08-01"), 1),
-        (d("2020-09-01"), 1), (d("2020-12-01"), 1),
-    ]
+    assert set(rows(op.starts_by_month(subs))) == {(d(f"2020-{m:02}-01"), 1) for m in (3, 5, 6, 7, 8, 9, 12)}
     assert rows(op.starters_between(subs, op.PRO_ANNUAL, "2020-01-01", "2021-01-01")) == [(3,)]
 
 
