@@ -16,8 +16,9 @@ def blank_to_null(c: Column, words: Sequence[str] = ("null",), keep_empty: bool
 
 def strip_units(c: Column, units: Sequence[str]) -> Column:
     """Drops one trailing unit word and the blanks around it (CLN3)."""
-    longest_first = sorted(units, key=len, reverse=True)
-    return F.trim(F.regexp_replace(c, r"\s*(" + "|".join(map(re.escape, longest_first)) + r")\s*$", ""))
+    longest_first = "|".join(re.escape(u) for u in sorted(units, key=len, reverse=True))
+    # Names the column once: a filter on the result is pushed below it, and each mention would be computed again there.
+    return F.trim(F.regexp_replace(c, rf"\s*(?:{longest_first})\s*$", ""))
 
 
 def split_list(c: Column, sep: str = ",") -> Column:

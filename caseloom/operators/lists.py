@@ -57,26 +57,31 @@ def order_label(orders: DataFrame, names: DataFrame, toppings: DataFrame) -> Dat
     )
 
 
-CONFIGURATION = ["pizza_id", "exclusions", "extras"]
+CONFIGURATION = ["toppings", "exclusions", "extras"]
 
 
-def _with_blank_lists(orders: DataFrame) -> DataFrame:
-    return orders.withColumns({c: F.coalesce(F.col(c), F.lit("")) for c in ("exclusions", "extras")})
+def _with_recipes(orders: DataFrame, recipes: DataFrame) -> DataFrame:
+    """Items with the topping text of their product and blank text for missing lists."""
+    blank = {c: F.coalesce(F.col(c), F.lit("")) for c in ("exclusions", "extras")}
+    return orders.withColumns(blank).join(recipes, "pizza_id")
 
 
-def _used(configurations: DataFrame, recipes: DataFrame) -> DataFrame:
-    """Configurations exploded to the toppings they use: recipe without the exclusions, plus the extras."""
+def _used(configurations: DataFrame) -> DataFrame:
+    """Configurations exploded to the toppings they use: recipe without the exclusions, plus the extras.
+
+    Products with equal recipes share their configurations, so these are far fewer than the items.
+    """
     used = F.concat(
         F.array_except(split_list(F.col("toppings")), split_list(F.col("exclusions"))), split_list(F.col("extras"))
     )
-    tokens = configurations.join(recipes, "pizza_id").withColumn("_t", F.explode(used))
-    return tokens.withColumn("topping_id", F.col("_t").try_cast("int")).drop("_t", "toppings")
+    tokens = configurations.withColumn("_t", F.explode(used))
+    return tokens.withColumn("topping_id", F.col("_t").try_cast("int")).drop("_t")
 
 
 def ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """``Name: 2xBacon, Beef, ...`` for every ordered item, names in alphabetical order without regard to case (DO6)."""
-    rows = _with_blank_lists(orders)
-    used = _used(rows.select(*CONFIGURATION).distinct(), recipes)
+    rows = _with_recipes(orders, recipes)
+    used = _used(rows.select(*CONFIGURATION).distinct())
     counts = used.groupBy(*CONFIGURATION, "topping_id").agg(F.count(F.lit(1)).alias("n")).join(toppings, "topping_id")
     times = F.when(F.col("n") > 1, F.concat(F.col("n").cast("string"), F.lit("x"))).otherwise("")
     lists = (
@@ -84,19 +89,19 @@ def ingredient_list(orders: DataFrame, names: DataFrame, recipes: DataFrame, top
         .groupBy(*CONFIGURATION)
         .agg(ordered_names("lower(topping_name)", "_item").alias("_items"))
     )
-    return (
-        rows.join(names, "pizza_id").join(lists, CONFIGURATION, "left")
-        .select("order_id", "customer_id", "pizza_id",
-                F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce("_items", F.lit(""))).alias("ingredients"))
+    return rows.join(names, "pizza_id").join(lists, CONFIGURATION, "left").select(
+        "order_id", "customer_id", "pizza_id",
+        F.concat(F.col("pizza_name"), F.lit(": "), F.coalesce("_items", F.lit(""))).alias("ingredients"),
     )
 
 
 def ingredient_usage(orders: DataFrame, runs: DataFrame, recipes: DataFrame, toppings: DataFrame) -> DataFrame:
     """How often each ingredient went into a delivered item (DO7)."""
     delivered = runs.filter(F.col("distance").isNotNull()).select("order_id")
-    rows = _with_blank_lists(orders).join(delivered, "order_id")
-    configurations = rows.groupBy(*CONFIGURATION).agg(F.count(F.lit(1)).alias("n"))
-    used = _used(configurations, recipes).groupBy("topping_id").agg(F.sum("n").alias("times_used"))
+    configurations = _with_recipes(orders, recipes).join(delivered, "order_id").groupBy(*CONFIGURATION).agg(
+        F.count(F.lit(1)).alias("n")
+    )
+    used = _used(configurations).groupBy("topping_id").agg(F.sum("n").alias("times_used"))
     return used.join(toppings, "topping_id").select("topping_id", "topping_name", "times_used")
 
 

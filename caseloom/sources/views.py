@@ -16,7 +16,8 @@ from ..operators.lists import ordered_names
 from ..operators.subscription import plan_table
 from .readers import Tables
 
-# Campaign periods over the event dates (one gap, one overlap) and item prices by part type.
+# Campaign periods over the event dates (one gap, one overlap), item prices by part type, unit spellings
+# by month, names for codes.
 CAMPAIGNS = [
     ("early offer", "2024-01-02 00:00:00", "2024-01-08 23:59:59"),
     ("mid season", "2024-01-12 00:00:00", "2024-01-18 23:59:59"),
@@ -24,6 +25,8 @@ CAMPAIGNS = [
     ("late offer", "2024-01-22 00:00:00", "2024-01-30 23:59:59"),
 ]
 ITEM_PRICES = {"LARGE": 12, "SMALL": 10}
+KM_UNITS = [""] * 4 + ["km"] * 4 + [" km"] * 4
+MINUTE_UNITS = [" minutes"] * 3 + [" mins"] * 3 + ["minutes"] * 3 + ["mins"] * 2 + [" minute"]
 TXN_TYPE_BY_STATUS = {"O": "deposit", "F": "purchase", "P": "withdrawal"}
 SEGMENT_CODES = {"AUTOMOBILE": "C1", "BUILDING": "C2", "FURNITURE": "F3", "HOUSEHOLD": "F4", "MACHINERY": "null"}
 CUSTOMER_TYPES = {"O": "New", "F": "Existing", "P": "Guest"}
@@ -37,6 +40,11 @@ def lookup(column: Column, values: dict) -> Column:
     return result
 
 
+def by_month(values: list[str], month: Column) -> Column:
+    """The value listed for a month: one literal array, which keeps the generated code small."""
+    return F.get(F.array(*[F.lit(x) for x in values]), month - 1)
+
+
 def priority_number(column: str = "o_orderpriority") -> Column:
     return F.substring(column, 1, 1).cast("int")
 
@@ -91,11 +99,8 @@ class Views:
         pickup = self._order_time() + F.make_dt_interval(secs=F.lit(300) + F.floor(price / 250))
         tenths = F.floor(price / 2000).cast("int")
         km = F.concat(F.floor(tenths / 10).cast("string"), F.lit("."), (tenths % 10).cast("string"))
-        km_unit = F.when(month <= 4, "").when(month <= 8, "km").otherwise(" km")
-        minute_unit = (
-            F.when(F.dayofmonth("o_orderdate") <= 6, "").when(month <= 3, " minutes").when(month <= 6, " mins")
-            .when(month <= 9, "minutes").when(month <= 11, "mins").otherwise(" minute")
-        )
+        km_unit = by_month(KM_UNITS, month)
+        minute_unit = F.when(F.dayofmonth("o_orderdate") <= 6, "").otherwise(by_month(MINUTE_UNITS, month))
         return self.t.orders.select(
             F.col("o_orderkey").alias("order_id"),
             priority_number().alias("runner_id"),
