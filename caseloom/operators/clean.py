@@ -47,6 +47,11 @@ def reject_counts(df: DataFrame, types: Mapping[str, str]) -> DataFrame:
     ])
 
 
+def repeated_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Key values that occur more than once, with their row counts; empty when ``keys`` is the grain of the table (JN15)."""
+    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("copies")).filter("copies > 1")
+
+
 def clean_orders(orders: DataFrame) -> DataFrame:
     """Item orders with the word ``null`` removed from both topping lists (CLN2)."""
     return sentinels_to_null(orders, ["exclusions", "extras"])

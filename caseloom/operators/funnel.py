@@ -36,8 +36,9 @@ def users_and_cookies(users: DataFrame) -> DataFrame:
 
 def visits_by_month(events: DataFrame, users: DataFrame) -> DataFrame:
     """Distinct visits of known cookies per month (AG2, AG10)."""
-    known = events.join(users.select("cookie_id").distinct(), "cookie_id", "left_semi")
-    return known.groupBy(month_of(F.col("event_time")).alias("month")).agg(F.countDistinct("visit_id").alias("visits"))
+    seen = events.select("cookie_id", "visit_id", month_of(F.col("event_time")).alias("month")).distinct()
+    known = seen.join(users.select("cookie_id").distinct(), "cookie_id", "left_semi")
+    return known.groupBy("month").agg(F.countDistinct("visit_id").alias("visits"))
 
 
 def events_by_type(events: DataFrame, types: DataFrame) -> DataFrame:
@@ -206,7 +207,8 @@ def visit_summary(events: DataFrame, pages: DataFrame, campaigns: DataFrame) ->
         F.count_if(is_type(IMPRESSION)).alias("impression"),
         F.count_if(is_type(CLICK)).alias("click"),
     )
-    placed = first_interval(visits, campaigns, "visit_start_time", "start_date", "end_date", "campaign_name")
+    placed = first_interval(visits, campaigns, "visit_start_time", "start_date", "end_date", "campaign_name",
+                            seen=events.select("event_time"))
     return placed.join(cart_products(events, pages, ["user_id", "visit_id"]), ["user_id", "visit_id"], "left")
 
 

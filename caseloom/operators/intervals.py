@@ -70,12 +70,12 @@ def nearest_rank(df: DataFrame, group: Sequence[str], value: str,
     return reached.select(*group, F.col("_t.label").alias("percentile"), F.col(value))
 
 
-def spread_over_days(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str) -> DataFrame:
-    """One row per interval and day (``_iday``) it touches, cut to the days that occur in ``points``."""
-    day = F.col(at).cast("date")
-    seen = points.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("s")).scalar()
-    first = F.greatest(F.col(start).cast("date"), seen["lo"])
-    last = F.least(F.col(end).cast("date"), seen["hi"])
+def spread_over_days(seen: DataFrame, intervals: DataFrame, start: str, end: str) -> DataFrame:
+    """One row per interval and day (``_iday``) it touches, cut to the range of days in the single column of ``seen``."""
+    day = F.col(seen.columns[0]).cast("date")
+    span = seen.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("s")).scalar()
+    first = F.greatest(F.col(start).cast("date"), span["lo"])
+    last = F.least(F.col(end).cast("date"), span["hi"])
     cut = intervals.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
     return cut.withColumn("_iday", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
 
@@ -86,19 +86,22 @@ def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str,
     An equi-join on the day with the exact bounds rechecked: it can be broadcast, shuffled or split like any other
     join, whatever the number of intervals.
     """
-    per_day = spread_over_days(points, intervals, at, start, end)
+    per_day = spread_over_days(points.select(at), intervals, start, end)
     on = (F.col("_day") == F.col("_iday")) & F.col(at).between(F.col(start), F.col(end))
     return points.withColumn("_day", F.col(at).cast("date")).join(per_day, on, "left").drop("_day", "_iday")
 
 
-def first_interval(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, name: str) -> DataFrame:
+def first_interval(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, name: str,
+                   seen: DataFrame | None = None) -> DataFrame:
     """Every point once, with the name of the earliest-starting interval that holds it or NULL.
 
+    ``seen`` may name a column that is cheaper to scan than ``points`` and covers the days of ``at``.
+
     Among the intervals of a day, one is the earliest at a moment only after all that started before it have ended. So
     each keeps the part after their latest end, the parts do not overlap, and the join adds no rows.
     """
     started_before = Window.partitionBy("_iday").orderBy(start, name).rowsBetween(Window.unboundedPreceding, -1)
-    parts = spread_over_days(points, intervals.select(name, start, end), at, start, end).select(
+    parts = spread_over_days(points.select(at) if seen is None else seen, intervals.select(name, start, end), start, end).select(
         "_iday", F.col(start).alias("_from"), F.col(end).alias("_to"), F.max(end).over(started_before).alias("_busy"), name
     )
     moment = F.col(at)

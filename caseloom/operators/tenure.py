@@ -78,9 +78,13 @@ def short_lived(metrics: DataFrame, min_periods: int, period: str = "month_year"
 
 
 def removed_points(metrics: DataFrame, min_periods: int, period: str = "month_year") -> DataFrame:
-    """Records and entities that a minimum tenure would remove (DO22, JN7)."""
-    removed = metrics.join(short_lived(metrics, min_periods, period), "interest_id", "left_semi")
-    return removed.agg(F.count("interest_id").alias("records"), F.countDistinct("interest_id").alias("interests"))
+    """Records and entities that a minimum tenure would remove (DO22, JN7): counted per entity, so no join is needed."""
+    per_interest = metrics.filter(F.col("interest_id").isNotNull()).groupBy("interest_id").agg(
+        F.count(F.lit(1)).alias("records"), F.countDistinct(period).alias("periods")
+    )
+    return per_interest.filter(F.col("periods") < min_periods).agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("records"), F.count("interest_id").alias("interests")
+    )
 
 
 def without_short_lived(metrics: DataFrame, min_periods: int, period: str = "month_year") -> DataFrame:

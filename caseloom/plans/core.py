@@ -62,6 +62,12 @@ def reject_counts(v: Views):
     return clean.reject_counts(v.raw_runs, types)
 
 
+def grain_check(v: Views):
+    """Order and line number do not identify a line item: how many keys repeat, and how often."""
+    repeated = clean.repeated_keys(v.t.lineitem, ["l_orderkey", "l_linenumber"])
+    return repeated.groupBy("copies").agg(F.count(F.lit(1)).alias("keys"))
+
+
 def split_fraction(v: Views):
     text = v.t.events.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"))
     return clean.split_fraction(text, "event_time")
@@ -139,6 +145,9 @@ QUERIES = {
         SELECT count(*) FILTER (TRY_CAST(distance AS DECIMAL(5,1)) IS NULL) AS distance,
           count(*) FILTER (TRY_CAST(duration AS INTEGER) IS NULL) AS duration,
           count(*) FILTER (TRY_CAST(pickup_time AS TIMESTAMP) IS NULL) AS pickup_time FROM raw_runs""")),
+    "grain_check": (grain_check, """
+        SELECT copies, count(*) AS keys FROM (SELECT count(*) AS copies FROM lineitem GROUP BY l_orderkey, l_linenumber)
+        WHERE copies > 1 GROUP BY 1"""),
     "split_fraction": (split_fraction, """
         SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS event_time,
           strftime(ts, '%Y-%m-%d %H:%M:%S') AS datetime_without_fraction, strftime(ts, '%f') AS fraction,

@@ -14,6 +14,12 @@ def save_result(df: DataFrame, path: str, mode: str = "errorifexists", partition
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def save_table(df: DataFrame, name: str, mode: str = "overwrite", **options: str) -> DataFrame:
+    """Writes a result as a catalog table and returns it (SNK1); ``path`` as an option makes the table external."""
+    df.write.mode(mode).options(**options).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 def replace_result(df: DataFrame, path: str) -> DataFrame:
     """Writes a result over whatever the path holds (SNK2)."""
     return save_result(df, path, mode="overwrite")

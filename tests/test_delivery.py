@@ -38,6 +38,11 @@ def test_cleaning(kitchen):
     assert (rejected.distance, rejected.duration) == (8, 8)
 
 
+def test_grain(kitchen):
+    assert rows(clean.repeated_keys(kitchen.ratings, ["order_id"])) == []
+    assert rows(clean.repeated_keys(kitchen.raw_orders, ["order_id", "pizza_id"])) == [(10, 1, 2), (4, 1, 2)]
+
+
 def test_duplicates_are_real_quantities(kitchen, spark):
     deduped = clean.drop_exact_duplicates(kitchen.raw_orders)
     assert deduped.count() == 13

@@ -33,6 +33,12 @@ def test_results_are_written_replaced_and_appended(case, tmp_path):
         sinks.save_result(case("ratings"), path)
 
 
+def test_catalog_tables(spark, case, tmp_path):
+    table = sinks.save_table(case("ratings"), "saved_ratings", path=str(tmp_path / "t"))
+    assert table.count() == 8 and spark.table("saved_ratings").columns == ["rating_id", "order_id", "rating"]
+    spark.sql("DROP TABLE saved_ratings")
+
+
 def test_stage_uses_the_shared_folder(spark, case):
     staged = sinks.stage(case("menu"), "menu")
     assert rows(staged) == rows(case("menu"))
