@@ -9,7 +9,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from ..functions import int_avg, mean, month_of, safe_ratio
+from ..functions import int_avg, mean, month_of, rounded_ratio, safe_ratio
 from .grouped import join_back, rows_frame, steps
 
 KEY = ["customer_id"]
@@ -36,12 +36,12 @@ def deposit_averages(txns: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.sum("txn_amount").alias("s")
     )
     own_mean_int = F.call_function("div", F.col("s"), F.col("n"))
-    own_mean = F.round(F.col("s").cast("double") / F.col("n"), 4).cast("decimal(24,4)")
+    own_mean = rounded_ratio(F.col("s"), F.col("n"), 6)
     return per_customer.agg(
         int_avg(F.col("n")).alias("avg_count_int"),
         mean(F.col("n")).alias("avg_count"),
         int_avg(own_mean_int).alias("avg_of_averages_int"),
-        mean(own_mean).alias("avg_of_averages"),
+        rounded_ratio(F.sum(own_mean), F.count(F.lit(1)), 4).alias("avg_of_averages"),
         safe_ratio(F.sum("s"), F.sum("n")).alias("overall_average"),
     )
 

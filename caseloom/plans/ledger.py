@@ -35,9 +35,12 @@ QUERIES = {
     "avg_of_sums": (lambda v: op.deposit_averages(v.txns), with_views("txns", """
         SELECT CAST(sum(n) // count(*) AS BIGINT) AS avg_count_int, sum(n) / count(*) AS avg_count,
           CAST(floor(sum(floor(CAST(s AS DOUBLE) / n)) / count(*)) AS BIGINT) AS avg_of_averages_int,
-          CAST(sum(CAST(round(CAST(s AS DOUBLE) / n, 4) AS DECIMAL(24,4))) AS DOUBLE) / count(*) AS avg_of_averages,
+          -- millionths, halves up, then ten-thousandths: whole-number arithmetic
+          CAST((2 * sum(micro) + 100 * count(*)) // (200 * count(*)) AS DOUBLE) / 10000 AS avg_of_averages,
           CAST(sum(s) AS DOUBLE) / sum(n) AS overall_average
-        FROM (SELECT customer_id, count(*) AS n, sum(txn_amount) AS s FROM txns WHERE txn_type = 'deposit' GROUP BY 1)""")),
+        FROM (SELECT customer_id, count(*) AS n, sum(txn_amount) AS s,
+            (2 * CAST(sum(txn_amount) * 100 AS HUGEINT) * 10000 + count(*)) // (2 * count(*)) AS micro
+          FROM txns WHERE txn_type = 'deposit' GROUP BY 1)""")),
     "active_customers": (lambda v: op.active_customers(v.txns, exactly_one=True), with_views("txns", """
         SELECT txn_month AS month, count(*) AS customers FROM (
           SELECT customer_id, txn_month FROM txns GROUP BY 1, 2

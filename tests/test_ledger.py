@@ -31,7 +31,7 @@ def test_totals_and_deposits(txns):
     assert averages.avg_of_averages_int == (318 + 305 + 38) // 3
     assert averages.avg_count_int == 2 and round(averages.avg_count, 4) == 2.3333
     # An average of per-customer averages is not the overall average.
-    assert round(averages.avg_of_averages, 4) == round((318 + 305 + 115 / 3) / 3, 4)
+    assert float(averages.avg_of_averages) == round((318 + 305 + 115 / 3) / 3, 4)
     assert round(averages.overall_average, 4) == round(1361 / 7, 4)
 
 
