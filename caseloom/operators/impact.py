@@ -74,7 +74,10 @@ def _in_window(week: Column, first: int, last: int) -> Column:
 
 
 def before_after(weekly: DataFrame, base: str, weeks: int) -> DataFrame:
-    """Sales of the ``weeks`` weeks before and from the base week on (DO27); the filter on the dates reaches the scan."""
+    """Sales of the ``weeks`` weeks before and from the base week on (DO27).
+
+    The dates are filtered by a plain range first, so a table that stores the date is read for those weeks only.
+    """
     start = F.lit(base).cast("date")
     near = weekly.filter(
         (F.col("week_date") >= F.date_sub(start, 7 * weeks)) & (F.col("week_date") < F.date_add(start, 7 * weeks))
