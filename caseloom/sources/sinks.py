@@ -36,11 +36,13 @@ def append_rows(df: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a local session without one gets a folder of its own."""
+    """The folder the cluster names in ``spark.checkpoint.dir``.
+
+    Only a session that runs in one process (tests, a laptop) gets a folder of its own when none is set."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
         context.setCheckpointDir(tempfile.mkdtemp(prefix="caseloom-"))
         folder = context.getCheckpointDir()

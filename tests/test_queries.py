@@ -6,9 +6,10 @@ import pytest
 from check_oracles import compare, connect
 
 import __spark_entry__ as entry
+from caseloom.plans import all_oracles, all_queries
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
+QUERIES, ORACLES = all_queries(), all_oracles()
 
 # These write or stream when called, so their plan is the reading part only.
 EAGER = {"materialised_funnel", "realtime_balance", "basket_triples"}
@@ -49,3 +50,4 @@ def test_entry_runs(spark):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLES) <= set(entry.oracle_sql())
