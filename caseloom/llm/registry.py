@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, imatch, mixing
+from . import bpe, gearchunks, imatch, mixing, prefixfree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,8 @@ def queries() -> dict[str, Query]:
         "op1_imatch": lambda spark, sf_dir: imatch.op1_imatch(docs(spark, sf_dir)),
         "op2_bpe": lambda spark, sf_dir: bpe.op2_bpe(spark, docs(spark, sf_dir)),
         "op6_mixing": lambda spark, sf_dir: mixing.op6_mixing(docs(spark, sf_dir)),
+        "op8_prefix_free": lambda spark, sf_dir: prefixfree.op8_prefix_free(docs(spark, sf_dir)),
+        "op10_gear_chunks": lambda spark, sf_dir: gearchunks.op10_gear_chunks(docs(spark, sf_dir)),
     }
 
 
