@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, gearchunks, imatch, mixing, ordinal, prefixfree
+from . import bpe, gearchunks, imatch, mixing, ordinal, ppm, prefixfree
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_imatch": lambda spark, sf_dir: imatch.op1_imatch(docs(spark, sf_dir)),
         "op2_bpe": lambda spark, sf_dir: bpe.op2_bpe(spark, docs(spark, sf_dir)),
+        "op5_ppm": lambda spark, sf_dir: ppm.op5_ppm(docs(spark, sf_dir)),
         "op6_mixing": lambda spark, sf_dir: mixing.op6_mixing(docs(spark, sf_dir)),
         "op7_ordinal": lambda spark, sf_dir: ordinal.op7_ordinal(docs(spark, sf_dir), table(spark, sf_dir, "labels")),
         "op8_prefix_free": lambda spark, sf_dir: prefixfree.op8_prefix_free(docs(spark, sf_dir)),
