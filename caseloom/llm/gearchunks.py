@@ -128,5 +128,13 @@ def dedup(docs: DataFrame, shortest: int = SHORTEST_RUN, texts: bool = True) ->
     return S.without_spans(S.dealt_documents(base, parts), repeated_chunks(base, parts, parts), shortest, texts)
 
 
+def cleaned(docs: DataFrame, shortest: int = SHORTEST_RUN) -> DataFrame:
+    """The documents with repeated passages cut out; columns as they were."""
+    _, size = B.text_bytes(docs)
+    parts = B.part_count(docs.sparkSession, size, S.PART_BYTES)
+    repeated = repeated_chunks(B.normal_documents(docs), parts, parts)
+    return S.with_new_texts(docs, S.without_spans(S.dealt_documents(S.with_rest(docs), parts), repeated, shortest, texts=True))
+
+
 def op10_gear_chunks(docs: DataFrame) -> DataFrame:
     return dedup(docs.select("doc_id", "text"), texts=False)

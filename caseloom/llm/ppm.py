@@ -1,7 +1,7 @@
 """Language-model scoring by prediction by partial matching over bytes.
 
 A text is its words, A-Z as a-z, each followed by a space, and a line feed as the end. The context trie holds for every context of up to
-five bytes how often each byte followed in the training texts. A byte is predicted in the longest context that has been seen; if it did not
+six bytes how often each byte followed in the training texts. A byte is predicted in the longest context that has been seen; if it did not
 follow there, an escape (as likely as the number of different bytes that did) leads to the next shorter context, in which the bytes
 already ruled out no longer count. The model is pretrained: scores add up log10 probabilities under the counts of all training texts.
 
@@ -156,7 +156,7 @@ def pair_counts(base: DataFrame) -> np.ndarray:
 
 def _texts(table: pa.Table) -> tuple[list, pa.Array]:
     part = S.Part(table)
-    return part.doc_ids, pa.Array.from_buffers(pa.large_binary(), len(part.doc_ids), [None, pa.py_buffer(part.offsets), pa.py_buffer(part.data)])
+    return part.doc_ids, part.column()
 
 
 def scores(docs: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from . import blocks as B
 
@@ -37,7 +37,8 @@ def by_part(parts: int, ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, e
 
 
 def dealt_documents(base: DataFrame, parts: int) -> DataFrame:
-    """(part, doc_id, tag, text) with compressed texts, from doc_id and text."""
+    """(part, doc_id, tag, text) with compressed texts, from doc_id and text; a third column ``rest`` is carried along."""
+    rest = [f"rest {f.dataType.simpleString()}" for f in base.schema.fields[2:]]
 
     def deal(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         squeeze = zstandard.ZstdCompressor(level=1)
@@ -45,11 +46,22 @@ def dealt_documents(base: DataFrame, parts: int) -> DataFrame:
         tags = np.concatenate([tags_of(B.prefix_sums(data), offsets) for _, data, offsets in B.blocks(texts)])
         ids = np.asarray(batch.column(0).fill_null(NULL_ID))
         yield pa.RecordBatch.from_arrays(
-            [pa.array(parts_of(ids, tags, parts)), batch.column(0), pa.array(tags.astype(np.int64)), pa.array([squeeze.compress(t) for t in texts.to_pylist()], pa.binary())],
-            ["part", "doc_id", "tag", "text"],
+            [pa.array(parts_of(ids, tags, parts)), batch.column(0), pa.array(tags.astype(np.int64)), pa.array([squeeze.compress(t) for t in texts.to_pylist()], pa.binary()), *batch.columns[2:]],
+            ["part", "doc_id", "tag", "text", *["rest" for _ in rest]],
         )
 
-    return B.per_batch(base, deal, "part long, doc_id long, tag long, text binary")
+    return B.per_batch(base, deal, ", ".join(["part long, doc_id long, tag long, text binary", *rest]))
+
+
+def with_rest(docs: DataFrame) -> DataFrame:
+    """doc_id, text and all columns of the documents but the text as one value, so that their names do not matter."""
+    return B.normal_documents(docs, F.struct(*(F.col(f"`{c}`") for c in docs.columns if c != "text")).alias("rest"))
+
+
+def with_new_texts(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again, with the new text and, where there is one, its ``n_chars``."""
+    new = {"text": F.col("text"), **({"n_chars": F.char_length("text").cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})}
+    return changed.select(*((new[c] if c in new else F.col(f"rest.`{c}`")).alias(c) for c in docs.columns))
 
 
 class Part:
@@ -66,6 +78,10 @@ class Part:
         for k, key in enumerate(keys):
             self.rows.setdefault(key, []).append(k)
 
+    def column(self) -> pa.Array:
+        """The texts as an Arrow array."""
+        return pa.Array.from_buffers(pa.large_binary(), len(self.doc_ids), [None, pa.py_buffer(self.offsets), pa.py_buffer(self.data)])
+
     def covered(self, spans: pa.Table) -> np.ndarray:
         """A flag for each byte that a span covers."""
         cover = np.zeros(len(self.data) + 1, np.int32)
@@ -96,7 +112,8 @@ class Part:
 def without_spans(documents: DataFrame, spans: DataFrame, shortest: int = 1, texts: bool = False) -> DataFrame:
     """Cuts covered runs of at least ``shortest`` bytes out of the dealt documents.
 
-    Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, and the remaining text if asked for."""
+    Returns doc_id, n_bytes, n_removed, n_spans, kept_sha256, the remaining text if asked for, and ``rest`` if there is one."""
+    rest = [f.dataType.simpleString() for f in documents.schema if f.name == "rest"]
     schema = pa.schema([
         ("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
         *([("text", pa.string())] if texts else []),
@@ -104,7 +121,7 @@ def without_spans(documents: DataFrame, spans: DataFrame, shortest: int = 1, tex
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return schema.empty_table()
+            return pa.Table.from_batches([], pa.schema([*schema, *(left.schema.field("rest") for _ in rest)]))
         part = Part(left)
         covered = part.covered(right)
         starts, ends, rows = part.runs(covered)
@@ -122,7 +139,8 @@ def without_spans(documents: DataFrame, spans: DataFrame, shortest: int = 1, tex
             pa.array([hashlib.sha256(x).hexdigest() for x in left_over], pa.string()),
             *([pa.array([x.decode("utf-8", "replace") for x in left_over], pa.string())] if texts else []),
         ]
-        return pa.Table.from_arrays(columns, schema=schema)
+        out = pa.Table.from_arrays(columns, schema=schema)
+        return out.append_column("rest", left["rest"]) if rest else out
 
-    kind = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * texts
+    kind = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", text string" * texts + "".join(f", rest {t}" for t in rest)
     return documents.groupBy("part").cogroup(spans.groupBy("part")).applyInArrow(run, kind)
