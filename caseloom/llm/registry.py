@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, gearchunks, imatch, mixing, ordinal, ppm, prefixfree, templates
+from . import bagminhash, bpe, gearchunks, imatch, mixing, ordinal, ppm, prefixfree, templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,7 @@ def queries() -> dict[str, Query]:
         "op6_mixing": lambda spark, sf_dir: mixing.op6_mixing(docs(spark, sf_dir)),
         "op7_ordinal": lambda spark, sf_dir: ordinal.op7_ordinal(docs(spark, sf_dir), table(spark, sf_dir, "labels")),
         "op8_prefix_free": lambda spark, sf_dir: prefixfree.op8_prefix_free(docs(spark, sf_dir)),
+        "op9_bagminhash": lambda spark, sf_dir: bagminhash.op9_bagminhash(docs(spark, sf_dir)),
         "op10_gear_chunks": lambda spark, sf_dir: gearchunks.op10_gear_chunks(docs(spark, sf_dir)),
     }
 

@@ -6,23 +6,41 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from caseloom.llm import bpe, mixing, registry
+from caseloom.llm import bagminhash, bpe, mixing, ordinal, registry, templates
 from caseloom.sources.sinks import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
-def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier keeps."""
+    return ordinal.kept_documents(docs, registry.table(spark, sf_dir, "labels"))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without recurring lines."""
     registry.reachable(spark)
+    return templates.cleaned(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near copies."""
+    registry.reachable(spark)
+    return bagminhash.kept_documents(docs)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents as often as the mix takes them."""
     return mixing.mixed_documents(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in place of the texts."""
     registry.reachable(spark)
     return bpe.encode(docs, bpe.default_ranks())
 
 
-STAGES: list[tuple[str, Stage]] = [("mixing", mix), ("bpe", tokens)]
+STAGES: list[tuple[str, Stage]] = [("quality", quality), ("lines", lines), ("near_copies", near_copies), ("mixing", mix), ("bpe", tokens)]
 
 # The classifier and the signatures cannot be written in SQL.
 ORACLE_SQL = None
