@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bagminhash, bpe, gearchunks, imatch, mixing, ordinal, ppm, prefixfree, templates
+from . import adscan, bagminhash, bpe, gearchunks, imatch, mixing, ordinal, ppm, prefixfree, templates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -30,6 +30,7 @@ def queries() -> dict[str, Query]:
     return {
         "op1_imatch": lambda spark, sf_dir: imatch.op1_imatch(docs(spark, sf_dir)),
         "op2_bpe": lambda spark, sf_dir: bpe.op2_bpe(spark, docs(spark, sf_dir)),
+        "op3_adscan": lambda spark, sf_dir: adscan.op3_adscan(table(spark, sf_dir, "embeddings")),
         "op4_templates": lambda spark, sf_dir: templates.op4_templates(docs(spark, sf_dir)),
         "op5_ppm": lambda spark, sf_dir: ppm.op5_ppm(docs(spark, sf_dir)),
         "op6_mixing": lambda spark, sf_dir: mixing.op6_mixing(docs(spark, sf_dir)),
