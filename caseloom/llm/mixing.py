@@ -89,40 +89,43 @@ def cuts(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST
     return stage(sources.join(cut, sources["source"].eqNullSafe(cut["cut_source"]), "left").drop("cut_source", "rest", "words"), "mix-cuts")
 
 
+MADE = ("size", "source_size", "target", "epochs", "last", "taken")
+
+
+def _taken(docs: DataFrame, weights: tuple[float, ...], most: int) -> DataFrame:
+    """The documents with a value ``_mix`` that holds MADE."""
+    plan = cuts(docs, weights, most)
+    plan = plan.select(F.struct(*plan.columns).alias("_plan"))
+    base = docs.withColumns({"_key": key_of(), "_size": F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD)).cast("bigint")})
+    joined = base.join(plan, F.col("source").cast("string").eqNullSafe(F.col("_plan.source")), "left")
+    share = F.floor(F.col("_plan.cut_part") * F.col("_size") / F.greatest("_plan.cut_size", F.lit(1)))
+    last = F.when(F.col("_key") < F.col("_plan.cut_key"), F.col("_size")).when(F.col("_key") == F.col("_plan.cut_key"), share).otherwise(0).cast("bigint")
+    made = (F.col("_size"), F.col("_plan.source_size"), F.col("_plan.target"), F.col("_plan.epochs"), last, F.col("_plan.epochs") * F.col("_size") + last)
+    return joined.select(*(F.col(f"`{c}`") for c in docs.columns), F.struct(*(x.alias(n) for x, n in zip(made, MADE, strict=True))).alias("_mix"))
+
+
 def with_taken(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
     """Adds ``size, source_size, target, epochs, last, taken``: words in the text, its source's words and target, whole epochs,
     words of the last, partial epoch, and all words taken. Columns of these names in ``docs`` are replaced."""
-    mine = ["size", "source_size", "target", "epochs", "last", "taken"]
-    plan = cuts(docs, weights, most)
-    plan = plan.select(F.col("source").alias("_of"), *(F.col(c).alias(f"_{c}") for c in plan.columns if c != "source"))
-    base = docs.drop(*mine).withColumns({"_key": key_of(), "_size": F.regexp_count(F.coalesce(F.col("text").cast("string"), F.lit("")), F.lit(WORD)).cast("bigint")})
-    joined = base.join(plan, base["source"].cast("string").eqNullSafe(plan["_of"]), "left")
-    whole = F.col("_key") < F.col("_cut_key")
-    at = F.col("_key") == F.col("_cut_key")
-    last = F.when(whole, F.col("_size")).when(at, F.floor(F.col("_cut_part") * F.col("_size") / F.greatest("_cut_size", F.lit(1)))).otherwise(0).cast("bigint")
-    kept = [F.col(c) for c in docs.drop(*mine).columns]
-    joined = joined.withColumn("_last", last)
-    return joined.select(
-        *kept, F.col("_size").alias("size"), F.col("_source_size").alias("source_size"), F.col("_target").alias("target"), F.col("_epochs").alias("epochs"),
-        F.col("_last").alias("last"), (F.col("_epochs") * F.col("_size") + F.col("_last")).alias("taken"),
-    )
+    return _taken(docs, weights, most).select(*(F.col(f"`{c}`") for c in docs.columns if c not in MADE), "_mix.*")
 
 
 def mixed_documents(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
     """The mix itself: a row for every time a document is taken, the last one with its first words only where the budget ends in
     it (``n_chars`` is then that of the shortened text). Documents without words are kept once: they cost nothing."""
     columns = docs.columns
-    taken = with_taken(docs, weights, most)
-    cut = (F.col("last") > 0) & (F.col("last") < F.col("size"))
+    size, last = F.col("_mix.size"), F.col("_mix.last")
+    cut = (last > 0) & (last < size)
     pieces = F.split("text", r"(?<=[^\x20\x09-\x0D])(?=[\x20\x09-\x0D])")  # words, each with the white space before it
-    head = F.array_join(F.slice(pieces, F.lit(1), F.greatest(F.col("last"), F.lit(1)).cast("int")), "")
-    copies = F.when(F.col("size") == 0, F.array(F.lit(False))).otherwise(
-        F.concat(F.array_repeat(F.lit(False), F.col("epochs").cast("int")), F.when(F.col("last") > 0, F.array(cut)).otherwise(F.array().cast("array<boolean>")))
+    head = F.array_join(F.slice(pieces, F.lit(1), F.greatest(last, F.lit(1)).cast("int")), "")
+    copies = F.when(size == 0, F.array(F.lit(False))).otherwise(
+        F.concat(F.array_repeat(F.lit(False), F.col("_mix.epochs").cast("int")), F.when(last > 0, F.array(cut)).otherwise(F.array().cast("array<boolean>")))
     )
-    rows = taken.withColumn("_cut", F.explode(copies))
-    text = F.when(F.col("_cut"), head).otherwise(F.col("text"))
-    replaced = {"text": text, **({"n_chars": F.when(F.col("_cut"), F.length(head).cast("bigint")).otherwise(F.col("n_chars"))} if "n_chars" in columns else {})}
-    return rows.select(*(replaced[c].alias(c) if c in replaced else F.col(c) for c in columns))
+    rows = _taken(docs, weights, most).withColumn("_cut", F.explode(copies))
+    replaced = {"text": F.when(F.col("_cut"), head).otherwise(F.col("text"))}
+    if "n_chars" in columns:
+        replaced["n_chars"] = F.when(F.col("_cut"), F.length(head).cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars"))
+    return rows.select(*(replaced[c].alias(c) if c in replaced else F.col(f"`{c}`") for c in columns))
 
 
 def op6_mixing(docs: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 The tree has a fixed depth: a line goes by its number of tokens, then by its first three tokens, to a leaf; tokens with a digit count
 as a variable field. In a leaf, a token that recurs at its position stays, any other becomes a variable field too; if few tokens do,
 the line's template is what remains, else the line is a template of its own. A template recurs if it stands in at least ``least``
-documents and in as many different surroundings (the leaves of the lines before and after): a header or licence line does, a line of a
+documents and in as many different surroundings (a sketch of the document's other leaves): a header or licence line does, a line of a
 document that has merely been copied does not.
 
 Leaves, tokens of a leaf and templates are counted by key after adding up per part or per task, so no leaf, line or template is
@@ -55,12 +55,24 @@ class Lines:
         for k in range(DEPTH):
             leaf = B.mix(leaf * np.uint64(31) + np.where(self.sizes > k, padded[np.minimum(at + k, len(padded) - 1)], 0))
         self.leaves = leaf
-        before, after = np.zeros(len(leaf), np.uint64), np.zeros(len(leaf), np.uint64)
-        if len(leaf) > 1:
-            same = self.rows[1:] == self.rows[:-1]
-            before[1:] = np.where(same, leaf[:-1], 0)
-            after[:-1] = np.where(same, leaf[1:], 0)
-        self.surroundings = B.mix(before * np.uint64(3) + B.mix(after))
+        self.surroundings = self._surroundings(len(offsets) - 1)
+
+    def _surroundings(self, rows: int) -> np.ndarray:
+        """For each line, a hash of the three smallest scrambled leaves of its text but its own: equal for copies of a text, mostly so
+        for near copies, different for other texts even if they share several lines."""
+        some = self.sizes > 0
+        who, what, _ = B.distinct_pairs(self.rows[some], B.mix(self.leaves[some] + np.uint64(77)))
+        place = np.arange(len(who)) - np.searchsorted(who, who)
+        lowest = np.zeros((rows, 4), np.uint64)
+        low = place < 4
+        lowest[who[low], place[low]] = what[low]
+        mine, others = B.mix(self.leaves + np.uint64(77)), lowest[self.rows]
+        own = others == mine[:, None]
+        own[:, 3] |= ~own[:, :3].any(axis=1)
+        out = np.zeros(len(mine), np.uint64)
+        for k in range(4):
+            out = np.where(own[:, k], out, B.mix(out * np.uint64(31) + others[:, k]))
+        return out
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What goes with each line: its line feed, or the one before if it has none."""
