@@ -1,11 +1,11 @@
 """Near-duplicate detection on multisets of word shingles by BagMinHash signatures, banding, and exact verification.
 
 Equal multisets are one content, found by a 64-bit hash, so thousands of copies cost one row each. Contents that agree in a band of
-their signatures are members of a bucket. A bucket picks centres: a centre is compared with the members that are not yet in
-its class, first by signature, then exactly by the overlap of the two multisets. Links join contents into classes; buckets whose
-members are in one class are done. Otherwise members outside the bucket's largest class become centres, eight times as many in
-each round, until every pair of a bucket is in one class or has been compared. So a bucket of thousands of near copies needs about
-one comparison for each, pairs within a class are not made, and no link between members of a bucket is lost.
+their signatures are members of a bucket. Every bucket has a centre, with which its members are compared, first by signature, then
+exactly by the overlap of the two multisets; links join contents into classes. Buckets that share members form clusters. Where a
+cluster has more than one class, the members outside the largest class, few in a group of near copies, are compared with all its
+members, in blocks of bounded size that return one link for each straggler and class. So pairs within a class are never made, and
+no link between members of a cluster is lost.
 
 Similarity is the weighted Jaccard index: the sum of the smaller counts over the sum of the larger ones.
 
@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..sources.sinks import stage
 from . import blocks as B
@@ -28,6 +28,7 @@ from . import blocks as B
 SHINGLE = 5
 COMPONENTS, ROWS_PER_BAND = 96, 4
 LEAST_SIMILARITY = 0.8
+BLOCK_MEMBERS = 512
 _ONE = np.uint64(1)
 
 
@@ -219,44 +220,75 @@ def components(edges: DataFrame) -> DataFrame:
         before = now
 
 
-def class_links(docs: DataFrame, contents: DataFrame, least: float = LEAST_SIMILARITY) -> tuple[DataFrame | None, DataFrame | None]:
-    """Links (a, b, similarity) that join all classes, and (content, root) of the linked contents; nothing without shared buckets.
+def overlaps(values: np.ndarray, counts: np.ndarray, all_values: np.ndarray, all_counts: np.ndarray, owner: np.ndarray, rows: int) -> np.ndarray:
+    """Shared shingles of one multiset (distinct values in order) with each of many."""
+    at = np.minimum(np.searchsorted(values, all_values), len(values) - 1)
+    return np.bincount(owner, np.where(values[at] == all_values, np.minimum(counts[at], all_counts), 0), rows)
+
+
+def straggler_links(members: DataFrame, least: float) -> DataFrame:
+    """Links between the classes of a cluster that first comparisons have left apart.
+
+    ``members``: cluster, root, content, signature, shingles. The members outside a cluster's largest class are compared with all
+    members, in blocks of bounded size; of the links of a straggler with one class in one block only the first is returned."""
+    sizes = members.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"))
+    totals = sizes.groupBy("cluster").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"), F.max(F.struct("n", "root"))["root"].alias("largest"))
+    # A cluster of two has been compared already.
+    open_ = totals.where("classes > 1 AND total > 2").withColumn("blocks", F.ceil(F.col("total") / BLOCK_MEMBERS).cast("int"))
+    placed = stage(members.join(open_, "cluster"), "minhash-open")
+    columns = ["cluster", "block", "root", "content", "signature", "shingles"]
+    again = placed.select(*(F.col(c).alias(c) for c in placed.columns))  # other columns for Spark, so both sides can meet
+    whole = again.withColumn("block", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")).select(*columns)
+    stragglers = placed.where("root <> largest").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*columns)
+    slack = least - 5 * (least * (1 - least) / COMPONENTS) ** 0.5
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        found: list[tuple[int, int, float]] = []
+        if left.num_rows and right.num_rows:
+            signature, root, content = B.unpacked(left["signature"], "u4").reshape(-1, COMPONENTS), np.asarray(left["root"]), np.asarray(left["content"])
+            size = B.lengths(left["shingles"], 8)
+            owner, value, count = B.distinct_pairs(np.repeat(np.arange(len(size)), size), B.unpacked(left["shingles"], "u8"))
+            others = B.unpacked(right["signature"], "u4").reshape(-1, COMPONENTS)
+            roots, names, sets = right["root"].to_pylist(), right["content"].to_pylist(), right["shingles"].to_pylist()
+            for k in range(right.num_rows):
+                likely = ((signature == others[k]).mean(axis=1) >= slack) & (root != roots[k])
+                if not likely.any():
+                    continue
+                own = np.frombuffer(sets[k], np.uint64)
+                values, counts = np.unique(own, return_counts=True)
+                some = likely[owner]
+                both = overlaps(values, counts, value[some], count[some], owner[some], len(size))
+                score = both / (len(own) + size - both)
+                linked_ = np.flatnonzero(likely & (score >= least))
+                for at in linked_[np.unique(root[linked_], return_index=True)[1]].tolist():
+                    a, b = sorted((names[k], int(content[at])), reverse=True)
+                    found.append((a, b, float(score[at])))
+        return pa.Table.from_arrays([pa.array([x[j] for x in found], f.type) for j, f in enumerate(out)], schema=out)
+
+    pairs = whole.groupBy("cluster", "block").cogroup(stragglers.groupBy("cluster", "block"))
+    return pairs.applyInArrow(compare, "a long, b long, similarity double").dropDuplicates(["a", "b"])
+
+
+def class_links(docs: DataFrame, contents: DataFrame, least: float = LEAST_SIMILARITY) -> tuple[DataFrame, DataFrame]:
+    """Links (a, b, similarity) that join all classes, and (content, root) of the linked contents.
 
     ``contents``: content, doc_id, signature."""
     members = stage(bucket_members(contents), "minhash-members")
     known = stage(contents.join(members.select("content").distinct(), "content"), "minhash-contents")
     sets = stage(multisets(docs, known), "minhash-sets")
-    links = roots = tested = None
-    centres = 1
-    while True:
-        placed = members if roots is None else members.join(roots, "content", "left")
-        placed = placed.select("bucket", "content", (F.col("content") if roots is None else F.coalesce("root", "content")).alias("root"))
-        bucket = Window.partitionBy("bucket")
-        if roots is None:
-            # Every bucket has its own first centre, so a group of near copies is compared with many of its members.
-            first = placed.groupBy("bucket").agg(F.min_by("content", F.xxhash64("content", "bucket")).alias("centre"))
-            pairs = placed.join(first, "bucket").where("content <> centre").select(F.greatest("content", "centre").alias("a"), F.least("content", "centre").alias("b")).distinct()
-        else:
-            mixed = placed.withColumn("low", F.min("root").over(bucket)).withColumn("high", F.max("root").over(bucket)).where("low <> high").drop("low", "high")
-            # The members outside a bucket's largest class, smallest classes first.
-            sizes = mixed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("size"))
-            ranked = mixed.join(sizes.withColumn("last", F.max(F.struct("size", "root")).over(bucket)["root"]), ["bucket", "root"]).where("root <> last")
-            ranked = ranked.withColumn("rank", F.row_number().over(bucket.orderBy("size", F.xxhash64("content", "bucket"))))
-            # Centres of earlier rounds come again only if pairs of theirs are still open; those already compared are left out below.
-            chosen = ranked.where(F.col("rank") <= centres).select("bucket", F.col("content").alias("centre"), F.col("root").alias("own"))
-            pairs = mixed.join(chosen, "bucket").where("root <> own").select(F.greatest("content", "centre").alias("a"), F.least("content", "centre").alias("b")).distinct()
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = stage(pairs, "minhash-pairs")
-        if pairs.isEmpty():
-            if roots is None or ranked.where(F.col("rank") > centres).isEmpty():
-                return links, roots
-            centres *= 8
-            continue
-        found = stage(linked(agreeing(pairs, known, least), sets, least), "minhash-links")
-        links = found if links is None else links.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        roots = components(links)
-        centres *= 8
+    # Every bucket has its own centre, so a group of near copies is compared with many of its members.
+    centre = members.groupBy("bucket").agg(F.min_by("content", F.xxhash64("content", "bucket")).alias("centre"))
+    pairs = members.join(centre, "bucket").where("content <> centre").select(F.greatest("content", "centre").alias("a"), F.least("content", "centre").alias("b"))
+    pairs = stage(pairs.distinct(), "minhash-pairs")
+    links = stage(linked(agreeing(pairs, known, least), sets, least), "minhash-links")
+    roots = components(links)
+    clusters = components(pairs)
+    placed = clusters.select("content", F.col("root").alias("cluster")).unionByName(clusters.select(F.col("root").alias("content"), F.col("root").alias("cluster")).distinct())
+    placed = placed.join(roots, "content", "left").withColumn("root", F.coalesce("root", "content"))
+    more = stage(straggler_links(placed.join(known.select("content", "signature"), "content").join(sets, "content"), least), "minhash-stragglers")
+    links = links.unionByName(more)
+    return links, components(links)
 
 
 def classified(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
@@ -265,13 +297,10 @@ def classified(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
     contents = signed_.groupBy("content").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature"))
     links, roots = class_links(docs, contents, least)
     named = contents.select("content", "doc_id")
-    if roots is None:
-        named = named.withColumn("root", F.col("content")).withColumn("links", F.lit(0).cast("bigint"))
-    else:
-        ends = links.select(F.col("a").alias("content")).unionByName(links.select(F.col("b").alias("content")))
-        counts = ends.groupBy("content").agg(F.count(F.lit(1)).alias("links"))
-        named = named.join(roots, "content", "left").join(counts, "content", "left")
-        named = named.withColumn("root", F.coalesce("root", "content")).withColumn("links", F.coalesce("links", F.lit(0).cast("bigint")))
+    ends = links.select(F.col("a").alias("content")).unionByName(links.select(F.col("b").alias("content")))
+    counts = ends.groupBy("content").agg(F.count(F.lit(1)).alias("links"))
+    named = named.join(roots, "content", "left").join(counts, "content", "left")
+    named = named.withColumn("root", F.coalesce("root", "content")).withColumn("links", F.coalesce("links", F.lit(0).cast("bigint")))
     # Null ids last; equal ids by content.
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "content"))
     classes = named.groupBy("root").agg(first.alias("first"))
