@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 BLOCK_BYTES = 1 << 20
@@ -170,6 +171,18 @@ def unpacked(column: pa.Array | pa.ChunkedArray, dtype: str) -> np.ndarray:
     return buffers(as_bytes(column))[0].view(dtype) if len(column) else np.zeros(0, dtype)
 
 
+def squeezed(values: np.ndarray, ordered: bool = False) -> bytes:
+    """Numbers as a compressed value, like bytes of all numbers together; ``ordered`` integers as their differences."""
+    values = np.diff(values, prepend=values.dtype.type(0)) if ordered else values
+    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes())
+
+
+def expanded(value: bytes, dtype: str, ordered: bool = False) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(value), np.uint8)
+    values = np.ascontiguousarray(raw.reshape(np.dtype(dtype).itemsize, -1).T).view(dtype).ravel()
+    return np.cumsum(values, dtype=dtype) if ordered else values
+
+
 def lengths(column: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     """The number of entries in each array of a binary column."""
     return np.diff(buffers(as_bytes(column))[1]) // width

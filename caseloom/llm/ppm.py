@@ -22,7 +22,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from ..sources.sinks import stage
@@ -32,8 +31,10 @@ ORDER = 6
 PART_BYTES = 16 << 20
 FOLDS, HELD_OUT_FOLD = 10, 0
 ADDED = 0.1
-END_WORD = np.uint64(0xE0D0E0D0E0D0E0D0)
-WORDS, GRAMS = 0, 1
+END_WORD = np.uint64(0x60D0E0D0E0D0E0D0)
+WORDS, GRAMS, PAIRS = 0, 1, 2
+BUCKETS_PER_PART = 4
+_ONE = np.uint64(1)
 
 
 def is_held_out(doc_id: int | None) -> bool:
@@ -62,22 +63,30 @@ def byte_stream(data: np.ndarray, offsets: np.ndarray, starts: np.ndarray, ends:
 
 def grams_of(stream: np.ndarray) -> np.ndarray:
     """For each byte: itself in the lowest eight bits and the ORDER bytes before it above."""
-    out = stream.astype(np.uint64)
-    wide = out.copy()
-    for k in range(1, ORDER + 1):
-        out[k:] |= wide[:-k] << np.uint64(8 * k)
-    return out
+    out, width = stream.astype(np.uint64), 1
+    while width < ORDER + 1:  # twice as many bytes in each step
+        wider = out.copy()
+        wider[width:] |= out[:-width] << np.uint64(8 * width)
+        out, width = wider, 2 * width
+    return out & np.uint64((1 << 8 * (ORDER + 1)) - 1)
+
+
+def counted(keys: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys (of 63 bits) in order, and how often each occurs with ``learned`` set."""
+    flagged = np.sort(keys << _ONE | learned)
+    values = flagged >> _ONE
+    at = np.flatnonzero(np.concatenate(([True], values[1:] != values[:-1]))) if len(values) else np.zeros(0, np.int64)
+    sums = np.concatenate(([0], np.cumsum((flagged & _ONE).astype(np.int64))))
+    return values[at], sums[np.append(at[1:], len(values))] - sums[at] if len(at) else sums[:0]
 
 
-def counted(keys: list[np.ndarray], weights: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys in order and their summed weights (occurrences)."""
-    if weights is None:
-        found = pc.value_counts(pa.chunked_array([pa.array(k) for k in keys], pa.uint64()))
-        values, sums = np.asarray(found.field(0)), np.asarray(found.field(1))
-        order = np.argsort(values)
-        return values[order], sums[order].astype(np.int64)
-    values, at = np.unique(np.concatenate(keys), return_inverse=True)
-    return values, np.bincount(at, np.concatenate(weights), len(values)).astype(np.int64)
+def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order and their summed counts."""
+    every, times = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, sums = every[order], np.concatenate(([0], np.cumsum(times[order])))
+    at = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))) if len(every) else np.zeros(0, np.int64)
+    return every[at], sums[np.append(at[1:], len(every))] - sums[at] if len(at) else sums[:0]
 
 
 def log_probabilities(grams: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np.ndarray:
@@ -99,21 +108,22 @@ def log_probabilities(grams: np.ndarray, counts: np.ndarray, pairs: np.ndarray)
         out[escape] += np.log10(0.5 * free[escape] / left[escape])
         done[hit] = True
 
-    levels = []
-    for order in range(ORDER, 1, -1):
+    def level(order: int) -> tuple:
         mask = np.uint64((1 << 8 * (order + 1)) - 1)
         strings, of_gram = np.unique(grams & mask, return_inverse=True)
         count = np.bincount(of_gram, counts, len(strings)).astype(np.int64)
         contexts, of_string = np.unique(strings >> np.uint64(8), return_inverse=True)
-        levels.append((strings, of_gram, count, of_string, np.bincount(of_string, count, len(contexts)).astype(np.int64), np.bincount(of_string, count > 0, len(contexts)).astype(np.int64)))
+        return strings, of_gram, count, of_string, np.bincount(of_string, count, len(contexts)).astype(np.int64), np.bincount(of_string, count > 0, len(contexts)).astype(np.int64)
+
     singles = pairs.sum(axis=0)
-    for k, (strings, of_gram, count, of_string, total, kinds) in enumerate(levels):
+    here = level(ORDER)
+    for order in range(ORDER, 1, -1):
+        strings, of_gram, count, of_string, total, kinds = here
         context = of_string[of_gram]
         settle(count[of_gram], total[context], kinds[context])
-        if k + 1 < len(levels):
-            shorter = levels[k + 1]
-            mask = np.uint64((1 << 8 * (ORDER - k)) - 1)
-            below = shorter[2][np.searchsorted(shorter[0], strings & mask)]
+        if order > 2:
+            here = level(order - 1)
+            below = here[2][np.searchsorted(here[0], strings & np.uint64((1 << 8 * order) - 1))]
         else:
             below = pairs[((strings >> np.uint64(8)) & np.uint64(255)).astype(np.int64), (strings & np.uint64(255)).astype(np.int64)]
         out_sum = np.bincount(of_string, below * (count > 0), len(total)).astype(np.int64)[context]
@@ -130,111 +140,131 @@ def log_probabilities(grams: np.ndarray, counts: np.ndarray, pairs: np.ndarray)
 def _streams(column: pa.Array) -> Iterator[tuple]:
     for row, data, offsets in B.blocks(column):
         starts, ends, owner = B.word_spans(data, offsets)
-        words = B.span_hashes(B.prefix_sums(data, lower=True), starts, ends)
+        words = B.span_hashes(B.prefix_sums(data, lower=True), starts, ends) >> _ONE
         stream, bounds, predicted = byte_stream(data, offsets, starts, ends, owner)
         yield row, len(offsets) - 1, words, owner, stream, bounds, predicted
 
 
-def pair_counts(base: DataFrame) -> np.ndarray:
-    """Training counts of all two-byte strings, 256 by 256."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums = np.zeros(1 << 16, np.int64)
-        for batch in batches:
-            train = batch.filter(pa.array([not is_held_out(d) for d in batch.column(0).to_pylist()], pa.bool_()))
-            for _, _, _, _, stream, _, predicted in _streams(train.column(1)):
-                at = np.flatnonzero(predicted)
-                sums += np.bincount(stream[at - 1].astype(np.int64) << 8 | stream[at], minlength=1 << 16)
-        some = np.flatnonzero(sums)
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(sums[some])], ["pair", "n"])
-
-    out = np.zeros(1 << 16, np.int64)
-    for row in base.mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 65,536 rows at most
-        out[row["pair"]] = row["n"]
-    return out.reshape(256, 256)
-
-
 def _texts(table: pa.Table) -> tuple[list, pa.Array]:
     part = S.Part(table)
     return part.doc_ids, part.column()
 
 
-def scores(docs: DataFrame) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
-    base = B.normal_documents(docs)
-    _, size = B.text_bytes(base)
-    parts = B.part_count(docs.sparkSession, size, PART_BYTES)
-    buckets = np.uint64(parts)
-    context = docs.sparkSession.sparkContext
-    documents = S.dealt_documents(base, parts)
-    pairs = context.broadcast(pair_counts(base))
-    asked = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary())])
-    told = pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("found", pa.binary()), ("tokens", pa.int64()), ("distinct", pa.int64())])
+def requests(documents: DataFrame, buckets: int) -> DataFrame:
+    """What each part asks for: its distinct words and grams with their training counts, dealt to buckets, and in one more row per
+    part (``kind`` PAIRS, no bucket) the number of its training tokens and its training counts of two-byte strings."""
+    schema = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("counts", pa.binary()), ("tokens", pa.int64())])
 
     def count(table: pa.Table) -> pa.Table:
         ids, texts = _texts(table)
         train = np.array([not is_held_out(d) for d in ids], bool)
-        keys, sums = ([], []), ([], [])
+        found: dict[int, list] = {WORDS: [], GRAMS: []}
         for row, rows, words, owner, stream, bounds, predicted in _streams(texts):
             mine = train[row : row + rows]
-            ends = np.full(rows, END_WORD)
-            grams = grams_of(stream)
-            learned = np.repeat(mine, np.diff(bounds))
-            for kind, every, flags in ((WORDS, np.concatenate((words, ends)), np.concatenate((mine[owner], mine))), (GRAMS, grams[predicted], learned[predicted])):
-                for flag in (True, False):
-                    values, times = counted([every[flags == flag]])
-                    keys[kind].append(values)
-                    sums[kind].append(times * flag)
+            found[WORDS].append(counted(np.concatenate((words, np.full(rows, END_WORD))), np.concatenate((mine[owner], mine))))
+            found[GRAMS].append(counted(grams_of(stream)[predicted], np.repeat(mine, np.diff(bounds))[predicted]))
         number, rows_out = table["part"][0].as_py(), []
         for kind in (WORDS, GRAMS):
-            values, times = counted(keys[kind], sums[kind])
+            values, times = merged(*zip(*found.pop(kind), strict=True))
             spot = values if kind == WORDS else (values >> np.uint64(8)) & np.uint64(0xFFFF)
-            rows_out += [(b, number, kind, v, n) for b, v, n in B.parted((B.mix(spot + np.uint64(kind)) % buckets).astype(np.int64), values, times.astype(np.uint32))]
-        return pa.Table.from_batches([B.packed(rows_out, asked)])
+            for b, v, n in B.parted((B.mix(spot + np.uint64(kind)) % np.uint64(buckets)).astype(np.int64), values, times):
+                rows_out.append((b, number, kind, B.squeezed(v, ordered=True), B.squeezed(n), 0))
+            if kind == WORDS:
+                tokens = int(times.sum())
+        pairs = np.bincount((values & np.uint64(0xFFFF)).astype(np.int64), times, 1 << 16).astype(np.int64)
+        some = np.flatnonzero(pairs)
+        rows_out.append((-1, number, PAIRS, B.squeezed(some, ordered=True), B.squeezed(pairs[some]), tokens))
+        return pa.Table.from_batches([B.packed(rows_out, schema)])
+
+    return documents.groupBy("part").applyInArrow(count, "bucket long, part long, kind int, keys binary, counts binary, tokens long")
+
+
+def pair_counts(asked: DataFrame) -> np.ndarray:
+    """Training counts of all two-byte strings, 256 by 256."""
+
+    def unpack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for keys, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            yield pa.RecordBatch.from_arrays([pa.array(B.expanded(keys, "i8", ordered=True)), pa.array(B.expanded(counts, "i8"))], ["pair", "n"])
+
+    rows = B.per_batch(asked.where(F.col("kind") == PAIRS).select("keys", "counts"), unpack, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
+    out = np.zeros(1 << 16, np.int64)
+    for row in rows.collect():  # 65,536 rows at most
+        out[row["pair"]] = row["n"]
+    return out.reshape(256, 256)
+
+
+def distinct_words(asked: DataFrame) -> int:
+    """Number of different training words, the end included."""
+    schema = pa.schema([("n", pa.int64())])
+
+    def count(table: pa.Table) -> pa.Table:
+        known = [B.expanded(k, "u8", ordered=True)[B.expanded(c, "i8") > 0] for k, c in zip(table["keys"].to_pylist(), table["counts"].to_pylist(), strict=True)]
+        return pa.table([pa.array([len(np.unique(np.concatenate(known)))], pa.int64())], schema=schema)
+
+    words = asked.where(F.col("kind") == WORDS).select("bucket", "keys", "counts")
+    return int(words.groupBy("bucket").applyInArrow(count, "n long").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()["n"])
+
+
+def replies(asked: DataFrame, pairs: np.ndarray) -> DataFrame:
+    """What each part gets from each bucket: the training counts of its words, the log probabilities of its grams."""
+    told = pa.schema([("part", pa.int64()), ("kind", pa.int32()), ("keys", pa.binary()), ("found", pa.binary())])
+    table_of_pairs = asked.sparkSession.sparkContext.broadcast(pairs)
 
     def meet(table: pa.Table) -> pa.Table:
         rows = []
-        kinds, numbers = np.asarray(table["kind"]), np.asarray(table["part"])
+        kinds = np.asarray(table["kind"])
         for kind in (WORDS, GRAMS):
             mine = table.filter(pa.array(kinds == kind))
             if not mine.num_rows:
                 continue
-            keys, times = B.unpacked(mine["keys"], "u8"), B.unpacked(mine["counts"], "u4")
-            values, at = np.unique(keys, return_inverse=True)
-            sums = np.bincount(at, times, len(values)).astype(np.int64)
-            found = sums if kind == WORDS else log_probabilities(values, sums, pairs.value)
-            for k, (number, v, a) in enumerate(B.parted(np.repeat(numbers[kinds == kind], np.asarray(B.lengths(mine["keys"], 8))), keys, at)):
-                first = kind == WORDS and k == 0
-                rows.append((number, kind, v, found[a], int(sums.sum()) if first else 0, int((sums > 0).sum()) if first else 0))
+            packed_keys = mine["keys"].to_pylist()
+            keys = [B.expanded(k, "u8", ordered=True) for k in packed_keys]
+            values, sums = merged(keys, [B.expanded(c, "i8") for c in mine["counts"].to_pylist()])
+            found = sums if kind == WORDS else log_probabilities(values, sums, table_of_pairs.value)
+            for number, raw, own in zip(mine["part"].to_pylist(), packed_keys, keys, strict=True):
+                rows.append((number, kind, raw, B.squeezed(found[np.searchsorted(values, own)])))
         return pa.Table.from_batches([B.packed(rows, told)])
 
-    requests = documents.groupBy("part").applyInArrow(count, "bucket long, part long, kind int, keys binary, counts binary")
-    replies = stage(requests.groupBy("bucket").applyInArrow(meet, "part long, kind int, keys binary, found binary, tokens long, distinct long"), "ppm-replies")
-    sums = replies.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n"), F.coalesce(F.sum("distinct"), F.lit(0)).alias("v")).first()
-    tokens, distinct = int(sums["n"]), int(sums["v"])
+    return asked.where(F.col("kind") != PAIRS).drop("tokens").groupBy("bucket").applyInArrow(meet, "part long, kind int, keys binary, found binary")
+
+
+def scores(docs: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
+    base = B.normal_documents(docs)
+    _, size = B.text_bytes(base)
+    parts = B.part_count(docs.sparkSession, size, PART_BYTES)
+    documents = S.dealt_documents(base, parts)
+    asked = stage(requests(documents, BUCKETS_PER_PART * parts), "ppm-requests")
+    tokens = int(asked.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()["n"])
+    scale = np.log10(tokens + ADDED * (distinct_words(asked) + 1))
     result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
+    def known(table: pa.Table, kind: int, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+        mine = table.filter(pa.array(np.asarray(table["kind"]) == kind))
+        keys = np.concatenate([B.expanded(k, "u8", ordered=True) for k in mine["keys"].to_pylist()])
+        found = np.concatenate([B.expanded(v, dtype) for v in mine["found"].to_pylist()])
+        order = np.argsort(keys)
+        return keys[order], found[order]
+
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return result.empty_table()
         ids, texts = _texts(left)
-        kinds = np.asarray(right["kind"])
-        tables = []
-        for kind, dtype in ((WORDS, "i8"), (GRAMS, "f8")):
-            mine = right.filter(pa.array(kinds == kind))
-            keys = B.unpacked(mine["keys"], "u8")
-            order = np.argsort(keys)
-            tables.append((keys[order], B.unpacked(mine["found"], dtype)[order]))
-        (words_known, word_counts), (grams_known, gram_logs) = tables
+        words_known, word_counts = known(right, WORDS, "i8")
+        grams_known, gram_logs = known(right, GRAMS, "f8")
         n_tokens, n_known, base_score, scored = [], [], [], []
         for _, rows, words, owner, stream, bounds, predicted in _streams(texts):
             every, who = np.concatenate((words, np.full(rows, END_WORD))), np.concatenate((owner, np.arange(rows)))
             times = word_counts[np.searchsorted(words_known, every)]
             n_tokens.append(np.bincount(who, minlength=rows))
             n_known.append(np.bincount(who[times > 0], minlength=rows))
-            base_score.append(np.bincount(who, np.log10((times + ADDED) / (tokens + ADDED * (distinct + 1))), rows))
-            coded = pa.array(grams_of(stream)[predicted]).dictionary_encode()
-            logs = gram_logs[np.searchsorted(grams_known, np.asarray(coded.dictionary))][np.asarray(coded.indices)]
+            base_score.append(np.bincount(who, np.log10(times + ADDED), rows) - n_tokens[-1] * scale)
+            grams = grams_of(stream)[predicted]
+            order = np.argsort(grams)
+            grams = grams[order]
+            new = np.concatenate(([True], grams[1:] != grams[:-1]))
+            logs = np.empty(len(grams))
+            logs[order] = gram_logs[np.searchsorted(grams_known, grams[new])][np.cumsum(new) - 1]
             sums = np.concatenate(([0.0], np.cumsum(logs)))
             cuts = bounds - ORDER * np.arange(rows + 1)
             scored.append(sums[cuts[1:]] - sums[cuts[:-1]])
@@ -245,7 +275,7 @@ def scores(docs: DataFrame) -> DataFrame:
         return pa.Table.from_arrays(columns, schema=result)
 
     kind = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return documents.groupBy("part").cogroup(replies.drop("tokens", "distinct").groupBy("part")).applyInArrow(score, kind)
+    return documents.groupBy("part").cogroup(replies(asked, pair_counts(asked)).groupBy("part")).applyInArrow(score, kind)
 
 
 def op5_ppm(docs: DataFrame) -> DataFrame:
