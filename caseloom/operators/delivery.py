@@ -157,9 +157,12 @@ def delivery_fact(orders: DataFrame, runs: DataFrame, ratings: DataFrame) -> Dat
 
 def net_after_cost(orders: DataFrame, runs: DataFrame, prices: DataFrame, per_km: str = "0.30",
                    cost_per: str = "order") -> DataFrame:
-    """Revenue minus distance pay; the distance is paid once per ``order`` or once per priced ``item`` (AG22)."""
-    per_order = orders.join(prices, "pizza_id").groupBy("order_id").agg(
-        F.sum("price").alias("earned"), F.count(F.lit(1)).alias("items")
+    """Revenue minus distance pay; the distance is paid once per delivered ``order`` or once per delivered ``item`` (AG22).
+
+    Items whose product has no price earn nothing, but their way is paid.
+    """
+    per_order = orders.join(prices, "pizza_id", "left").groupBy("order_id").agg(
+        F.sum(F.coalesce("price", F.lit(0))).alias("earned"), F.count(F.lit(1)).alias("items")
     )
     times = {"order": F.lit(1), "item": F.col("items")}[cost_per]
     pay = F.col("distance") * F.lit(per_km).cast("decimal(6,2)") * times

@@ -88,12 +88,22 @@ def before_after(weekly: DataFrame, base: str, weeks: int) -> DataFrame:
 
 
 def before_after_years(weekly: DataFrame, base_week: int, weeks: int) -> DataFrame:
-    """The same week numbers before and after in every year of the data (DO27)."""
-    near = weekly.filter(F.col("week_number").between(base_week - weeks, base_week + weeks - 1))
-    sums = near.groupBy("calendar_year").agg(
-        _in_window(F.col("week_number"), base_week - weeks, base_week - 1).alias("b"),
-        _in_window(F.col("week_number"), base_week, base_week + weeks - 1).alias("a"),
+    """The weeks before and after the same week number in every year of the data (DO27).
+
+    Weeks are counted from the base week's first day (week 1 starts on 1 January), so a window may reach into the year before
+    or after; it counts for the base week's year. Years that the data has no rows of get no window.
+    """
+    dated = weekly.select("sales", "week_date", F.year("week_date").alias("_y"))
+    if not 0 < base_week - weeks <= base_week + weeks - 1 <= 52:
+        # A row can lie in the window of its own year and in that of a neighbour.
+        dated = dated.withColumn("_y", F.explode(F.array(F.col("_y") - 1, F.col("_y"), F.col("_y") + 1)))
+    start = F.date_add(F.make_date("_y", F.lit(1), F.lit(1)), 7 * (base_week - 1))
+    week = F.floor(F.datediff("week_date", start) / 7)
+    near = dated.withColumn("_w", week).filter(F.col("_w").between(-weeks, weeks - 1))
+    sums = near.groupBy(F.col("_y").alias("calendar_year")).agg(
+        _in_window(F.col("_w"), -weeks, -1).alias("b"), _in_window(F.col("_w"), 0, weeks - 1).alias("a"),
     )
+    sums = sums.join(weekly.select("calendar_year").distinct(), "calendar_year", "left_semi")
     return sums.select("calendar_year", *_compared(F.col("b"), F.col("a")))
 
 

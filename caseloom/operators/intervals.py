@@ -75,20 +75,26 @@ def spread_over_days(seen: DataFrame, intervals: DataFrame, start: str, end: str
     day = F.col(seen.columns[0]).cast("date")
     span = seen.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("s")).scalar()
     first = F.greatest(F.col(start).cast("date"), span["lo"])
-    last = F.least(F.col(end).cast("date"), span["hi"])
+    # An interval without an end is open.
+    last = F.coalesce(F.least(F.col(end).cast("date"), span["hi"]), span["hi"])
     cut = intervals.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
     return cut.withColumn("_iday", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
 
 
-def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str) -> DataFrame:
+def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, by: Sequence[str] = ()) -> DataFrame:
     """Left join of timestamps to every interval that holds them, both ends included (JN6).
 
-    An equi-join on the day with the exact bounds rechecked: it can be broadcast, shuffled or split like any other
-    join, whatever the number of intervals.
+    ``by`` names columns that must be equal as well; an interval without an end is open. An equi-join on these and the day
+    with the exact bounds rechecked: it can be broadcast, shuffled or split like any other join, whatever the number of
+    intervals.
     """
+    keyed = [F.col(c).alias(f"_by_{c}") for c in by]
     per_day = spread_over_days(points.select(at), intervals, start, end)
-    on = (F.col("_day") == F.col("_iday")) & F.col(at).between(F.col(start), F.col(end))
-    return points.withColumn("_day", F.col(at).cast("date")).join(per_day, on, "left").drop("_day", "_iday")
+    per_day = per_day.select(*keyed, *(c for c in per_day.columns if c not in by))
+    on = (F.col("_day") == F.col("_iday")) & (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) <= F.col(end)))
+    for c in by:
+        on = on & (F.col(c) == F.col(f"_by_{c}"))
+    return points.withColumn("_day", F.col(at).cast("date")).join(per_day, on, "left").drop("_day", "_iday", *(f"_by_{c}" for c in by))
 
 
 def first_interval(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, name: str,
@@ -101,6 +107,7 @@ def first_interval(points: DataFrame, intervals: DataFrame, at: str, start: str,
     each keeps the part after their latest end, the parts do not overlap, and the join adds no rows.
     """
     started_before = Window.partitionBy("_iday").orderBy(start, name).rowsBetween(Window.unboundedPreceding, -1)
+    intervals = intervals.withColumn(end, F.coalesce(F.col(end), F.lit(OPEN_END).cast(intervals.schema[end].dataType)))
     parts = spread_over_days(points.select(at) if seen is None else seen, intervals.select(name, start, end), start, end).select(
         "_iday", F.col(start).alias("_from"), F.col(end).alias("_to"), F.max(end).over(started_before).alias("_busy"), name
     )

@@ -22,7 +22,7 @@ TRIAL, BASIC, PRO_MONTHLY, PRO_ANNUAL, CHURN = (p[0] for p in PLANS)
 
 
 def by_start() -> WindowSpec:
-    return Window.partitionBy("customer_id").orderBy("start_date")
+    return Window.partitionBy("customer_id").orderBy("start_date", "plan_id")
 
 
 def plan_table(spark) -> DataFrame:
@@ -32,8 +32,8 @@ def plan_table(spark) -> DataFrame:
 
 
 def state_changes(subs: DataFrame) -> DataFrame:
-    """One change per customer and day; the lowest plan id wins a day with several."""
-    return subs.groupBy("customer_id", "start_date").agg(F.min("plan_id").alias("plan_id"))
+    """Every change once; those of one day follow each other by plan id."""
+    return subs.select("customer_id", "start_date", "plan_id").distinct()
 
 
 def customer_count(subs: DataFrame) -> DataFrame:
@@ -106,8 +106,8 @@ def changes_between(subs: DataFrame, before: int, after: int, start: str, end: s
 
 def state_as_of(subs: DataFrame, plans: DataFrame, day: str) -> DataFrame:
     """Customers per plan on a day, with percentages (WN16). One aggregation picks each customer's latest change."""
-    # Date and plan in one number, so the pick is a hash aggregate; the lowest plan id wins a day with several.
-    position = F.unix_date("start_date").cast("long") * 2**32 - F.col("plan_id")
+    # Date and plan in one number, so the pick is a hash aggregate; the last of a day's changes counts.
+    position = F.unix_date("start_date").cast("long") * 2**32 + F.col("plan_id")
     latest = subs.filter(F.col("start_date") <= F.lit(day).cast("date")).groupBy("customer_id").agg(
         F.max_by("plan_id", position).alias("plan_id")
     )
@@ -158,7 +158,7 @@ def journey(subs: DataFrame, plans: DataFrame) -> DataFrame:
     named = state_changes(subs).join(plans, "plan_id")
     step = F.concat(F.col("plan_name"), F.lit(" ("), F.col("start_date").cast("string"), F.lit(")"))
     return named.withColumn("step", step).groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("steps"), F.expr("listagg(step, ' > ') WITHIN GROUP (ORDER BY start_date)").alias("journey")
+        F.count(F.lit(1)).alias("steps"), F.expr("listagg(step, ' > ') WITHIN GROUP (ORDER BY start_date, plan_id)").alias("journey")
     )
 
 
@@ -188,7 +188,7 @@ def payment_schedule(subs: DataFrame, plans: DataFrame, horizon: str) -> DataFra
     dates = F.sequence(F.col("_begin"), F.col("_last"), F.make_ym_interval(F.lit(0), F.col("_months")))
     paid = due.withColumn("payment_date", F.explode(dates))
     first = F.col("payment_date") == F.col("_begin")
-    in_order = Window.partitionBy("customer_id").orderBy("payment_date", "start_date")
+    in_order = Window.partitionBy("customer_id").orderBy("payment_date", "start_date", "plan_id")
     return paid.select(
         "customer_id", "plan_id", "plan_name", "payment_date",
         (F.col("price") - F.when(first, F.col("_credit")).otherwise(F.lit(0))).cast("decimal(7,2)").alias("amount"),

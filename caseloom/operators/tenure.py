@@ -132,7 +132,8 @@ def extreme_months(metrics: DataFrame, value: str = "percentile_ranking", n: int
     """
     chosen = F.broadcast(most_volatile(metrics, value, n))
     rows = metrics.filter(F.col("month_year").isNotNull()).join(chosen, "interest_id")
-    pair = F.struct(F.col(value).alias("v"), F.col("month_year").alias("m"))
+    # Months without a value are neither the highest nor the lowest one.
+    pair = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("v"), F.col("month_year").alias("m")))
     ends = rows.groupBy("interest_id").agg(
         F.any_value("stddev").alias("stddev"), F.max(pair).alias("_hi"), F.min(pair).alias("_lo")
     )

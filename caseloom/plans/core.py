@@ -8,7 +8,7 @@ from ..functions import has_text, month_of, money_text, weekday_name
 from ..operators import clean
 from ..operators.grouped import not_in
 from ..sources.readers import json_field, json_fields
-from ..sources.sinks import append_rows, stage
+from ..sources.sinks import append_result, append_rows, new_folder, replace_result, save_result, stage
 from ..sources.views import Views
 from .sqlviews import ORDER_TIME, with_views
 
@@ -39,6 +39,22 @@ def append_twice(v: Views):
     return append_rows(clean.drop_exact_duplicates(rows), again).groupBy("event_type").agg(F.count(F.lit(1)).alias("records"))
 
 
+def replaced_result(v: Views):
+    """A result table written twice to the same place, the second time over the first (SNK2)."""
+    path = new_folder(v.spark, "replaced")
+    counts = v.t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+    save_result(counts, path)
+    return replace_result(counts.where("o_orderstatus <> 'P'"), path)
+
+
+def appended_result(v: Views):
+    """A result table written by one status after the other (SNK3)."""
+    path = new_folder(v.spark, "appended")
+    counts = v.t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
+    save_result(counts.where("o_orderstatus <> 'P'"), path)
+    return append_result(counts.where("o_orderstatus = 'P'"), path)
+
+
 def clean_sentinel(v: Views):
     missing = lambda c: F.count_if(F.col(c).isNull())
     return v.orders.agg(
@@ -130,6 +146,8 @@ QUERIES = {
         SELECT event_type, count(*) AS records FROM (
           SELECT DISTINCT user_id, CAST(ts AS DATE) AS day, event_type FROM events
           UNION ALL SELECT user_id, CAST(ts AS DATE), event_type FROM events WHERE event_type = 'purchase') GROUP BY 1"""),
+    "replaced_result": (replaced_result, "SELECT o_orderstatus, count(*) AS orders FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1"),
+    "appended_result": (appended_result, "SELECT o_orderstatus, count(*) AS orders FROM orders GROUP BY 1"),
     "clean_sentinel": (clean_sentinel, with_views("raw_items", """
         SELECT count(*) AS items, count(*) FILTER (exclusions IS NULL OR exclusions = 'null') AS null_exclusions,
           count(*) FILTER (extras IS NULL OR extras = 'null') AS null_extras,

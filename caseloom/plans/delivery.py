@@ -70,14 +70,14 @@ QUERIES = {
           order_time, pickup_time, {MINUTES} AS pickup_minutes, duration, {SPEED} AS avg_speed, count(*) AS total_items
         FROM delivered_items JOIN orders ON o_orderkey = order_id GROUP BY ALL""")),
     "net_after_cost": (lambda v: op.net_after_cost(v.orders, v.runs, v.prices), with_views("delivered_items prices", """
-        SELECT CAST(sum(earned) AS BIGINT) AS revenue, CAST(sum(pay) AS DOUBLE) AS cost, CAST(sum(earned) - sum(pay) AS DOUBLE) AS net FROM (
-          SELECT order_id, sum(price) AS earned, CAST(any_value(distance) AS DECIMAL(9,1)) * 0.30 AS pay
-          FROM delivered_items JOIN prices USING (pizza_id) GROUP BY 1)""")),
+        , earned AS (SELECT sum(price) AS r FROM delivered_items JOIN prices USING (pizza_id)),
+        paid AS (SELECT sum(CAST(d AS DECIMAL(9,1)) * 0.30) AS c FROM (SELECT order_id, any_value(distance) AS d FROM delivered_items GROUP BY 1))
+        SELECT CAST(r AS BIGINT) AS revenue, CAST(c AS DOUBLE) AS cost, CAST(r - c AS DOUBLE) AS net FROM earned, paid""")),
     "net_after_item_cost": (
         lambda v: op.net_after_cost(v.orders, v.runs, v.prices, cost_per="item"), with_views("delivered_items prices", """
-        SELECT CAST(sum(price) AS BIGINT) AS revenue, CAST(sum(CAST(distance AS DECIMAL(9,1)) * 0.30) AS DOUBLE) AS cost,
-          CAST(sum(price) - sum(CAST(distance AS DECIMAL(9,1)) * 0.30) AS DOUBLE) AS net
-        FROM delivered_items JOIN prices USING (pizza_id)""")),
+        , earned AS (SELECT sum(price) AS r FROM delivered_items JOIN prices USING (pizza_id)),
+        paid AS (SELECT sum(CAST(distance AS DECIMAL(9,1)) * 0.30) AS c FROM delivered_items)
+        SELECT CAST(r AS BIGINT) AS revenue, CAST(c AS DOUBLE) AS cost, CAST(r - c AS DOUBLE) AS net FROM earned, paid""")),
     "explode_list": (lambda v: lists.token_counts(v.orders, "extras", v.toppings), with_views("items toppings", """
         SELECT topping_id, topping_name, count(*) AS times
         FROM (SELECT CAST(unnest(string_split(extras, ', ')) AS BIGINT) AS topping_id FROM items) JOIN toppings USING (topping_id)

@@ -26,11 +26,14 @@ def campaign_map(v: Views):
 
 
 def stays_by_region(v: Views):
-    """Orders matched to the stay that holds their date: an interval join with as many intervals as points."""
-    stays = v.nodes.select(F.col("customer_id").alias("_c"), "node_id", "start_date", "end_date")
-    return stays.groupBy("node_id").agg(
-        F.count(F.lit(1)).alias("stays"), F.count_if(F.col("end_date") == F.lit(op.OPEN_END).cast("date")).alias("open_stays")
-    )
+    """Stays and open stays per node, and the transactions on the days of its stays: an interval join with as many intervals
+    as points, by customer and day. Open stays have no end here."""
+    ends = F.when(F.col("end_date") != F.lit(op.OPEN_END).cast("date"), F.col("end_date"))
+    stays = v.nodes.select("customer_id", "node_id", "start_date", ends.alias("end_date"))
+    placed = op.interval_join(v.txns.select("customer_id", "txn_date"), stays, "txn_date", "start_date", "end_date", by=["customer_id"])
+    per_node = placed.groupBy("node_id").agg(F.count("node_id").alias("txns"))
+    counts = stays.groupBy("node_id").agg(F.count(F.lit(1)).alias("stays"), F.count_if(F.col("end_date").isNull()).alias("open_stays"))
+    return counts.join(per_node, "node_id", "left").select("node_id", "stays", "open_stays", F.coalesce("txns", F.lit(0).cast("bigint")).alias("txns"))
 
 
 QUERIES = {
@@ -38,8 +41,12 @@ QUERIES = {
     "region_counts": (region_counts, with_views("nodes", """
         SELECT region_id, count(*) AS node_rows, count(DISTINCT customer_id) AS customers, r_name AS region_name
         FROM nodes JOIN region ON r_regionkey = region_id GROUP BY region_id, r_name""")),
-    "open_stays": (stays_by_region, with_views("nodes", """
-        SELECT node_id, count(*) AS stays, count(*) FILTER (end_date = DATE '9999-12-31') AS open_stays FROM nodes GROUP BY 1""")),
+    "open_stays": (stays_by_region, with_views("nodes txns", """
+        , held AS (SELECT n.node_id, count(*) AS txns FROM txns t JOIN nodes n ON n.customer_id = t.customer_id
+          AND t.txn_date BETWEEN n.start_date AND n.end_date GROUP BY 1)
+        SELECT node_id, stays, open_stays, coalesce(txns, 0) AS txns FROM (
+          SELECT node_id, count(*) AS stays, count(*) FILTER (end_date = DATE '9999-12-31') AS open_stays FROM nodes GROUP BY 1)
+          LEFT JOIN held USING (node_id)""")),
     "interval_days": (lambda v: op.average_stay(v.nodes), with_views("stays", """
         SELECT CAST(sum(days_stayed) // count(*) AS BIGINT) AS avg_days_int, CAST(sum(days_stayed) AS DOUBLE) / count(*) AS avg_days,
           count(*) AS stays FROM stays""")),

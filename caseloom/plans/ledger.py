@@ -13,10 +13,8 @@ from .sqlviews import with_views
 
 def realtime_balance(v: Views):
     """The event table read as a stream of files until nothing is left."""
-    stream = (
-        v.spark.readStream.schema(schema(DATA_TABLES["events"])).option("pathGlobFilter", "events.parquet")
-        .parquet(v.t.folder)
-    )
+    # The pattern finds the table as one file and as a folder of part files.
+    stream = v.spark.readStream.schema(schema(DATA_TABLES["events"])).parquet(f"{v.t.folder}/events.parquet*")
     return run_balance_stream(v.wallet_rows(stream))
 
 

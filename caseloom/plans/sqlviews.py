@@ -139,11 +139,11 @@ VIEWS = {
         SELECT o_custkey AS customer_id, CAST(o_orderpriority[1] AS BIGINT) - 1 AS plan_id, CAST(o_orderdate AS DATE) AS start_date
         FROM orders""",
     "changes": """
-        SELECT customer_id, start_date, min(plan_id) AS plan_id FROM subs GROUP BY 1, 2""",
+        SELECT DISTINCT customer_id, start_date, plan_id FROM subs""",
     "moves": """
         SELECT customer_id, plan_id, start_date, lead(plan_id) OVER w AS next_plan_id, lead(start_date) OVER w AS next_start,
           lag(plan_id) OVER w AS prev_plan_id, lag(start_date) OVER w AS prev_start, row_number() OVER w AS pos
-        FROM changes WINDOW w AS (PARTITION BY customer_id ORDER BY start_date)""",
+        FROM changes WINDOW w AS (PARTITION BY customer_id ORDER BY start_date, plan_id)""",
     "weekly": """
         SELECT week_date, CAST((dayofyear(week_date) - 1) // 7 + 1 AS BIGINT) AS week_number,
           CAST(month(week_date) AS BIGINT) AS month_number, CAST(year(week_date) AS BIGINT) AS calendar_year, region, platform,

@@ -23,7 +23,7 @@ _PAYMENTS = f"""
         paid AS (SELECT *, CAST(begins + to_months(CAST(k * every AS INTEGER)) AS DATE) AS payment_date FROM spread)
         SELECT customer_id, CAST(plan_id AS BIGINT) AS plan_id, plan_name, payment_date,
           CAST(CASE WHEN k = 0 THEN price - credit ELSE price END AS DOUBLE) AS amount,
-          row_number() OVER (PARTITION BY customer_id ORDER BY payment_date, start_date) AS payment_order
+          row_number() OVER (PARTITION BY customer_id ORDER BY payment_date, start_date, plan_id) AS payment_order
         FROM paid WHERE payment_date <= DATE '{HORIZON}' AND (next_start IS NULL OR payment_date < next_start)"""
 
 QUERIES = {
@@ -66,7 +66,7 @@ QUERIES = {
         FROM (SELECT d, CAST(CASE WHEN d <= 30 THEN 0 ELSE (d - 1) // 30 END AS BIGINT) AS b FROM reached WHERE d IS NOT NULL) GROUP BY b""")),
     "journey": (lambda v: op.journey(v.subs, v.plans), with_views("changes plan_names", """
         SELECT customer_id, count(*) AS steps,
-          string_agg(plan_name || ' (' || CAST(start_date AS VARCHAR) || ')', ' > ' ORDER BY start_date) AS journey
+          string_agg(plan_name || ' (' || CAST(start_date AS VARCHAR) || ')', ' > ' ORDER BY start_date, plan_id) AS journey
         FROM changes JOIN plan_names USING (plan_id) GROUP BY 1""")),
     "payment_schedule": (lambda v: op.payment_schedule(v.subs, v.plans, HORIZON), with_views("moves plan_names", _PAYMENTS)),
 }

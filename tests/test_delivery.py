@@ -95,6 +95,15 @@ def test_money(kitchen, prices):
     assert op.net_after_cost(kitchen.orders, kitchen.runs, prices, cost_per="item").first().net == Decimal("73.38")
 
 
+def test_the_way_of_unpriced_items_is_paid(kitchen, prices):
+    # Without a price for pizza 2 only the twelve items of the others earn; the distances of all delivered orders stay.
+    full, part = (op.net_after_cost(kitchen.orders, kitchen.runs, p).first() for p in (prices, prices.where("pizza_id <> 2")))
+    assert part.cost == full.cost == Decimal("43.56") and part.revenue < full.revenue
+    assert op.net_after_cost(kitchen.orders, kitchen.runs, prices.limit(0)).first().revenue == 0
+    each = op.net_after_cost(kitchen.orders, kitchen.runs, prices.limit(0), cost_per="item").first()
+    assert each.cost == Decimal("64.62")
+
+
 def test_delivery_fact(kitchen):
     fact = {r.order_id: r for r in op.delivery_fact(kitchen.orders, kitchen.runs, kitchen.ratings).collect()}
     assert sorted(fact) == [1, 2, 3, 4, 5, 7, 8, 10]

@@ -1,5 +1,6 @@
 """Weekly sales: cleaning, shares, before and after."""
 
+import datetime as dt
 from decimal import Decimal
 
 import pytest
@@ -49,6 +50,13 @@ def test_before_and_after(weekly):
     assert years[2020][:2] == (Decimal("130.00"), Decimal("150.00"))
 
 
+def test_windows_reach_into_the_neighbouring_year(spark):
+    days = [dt.date(2019, 10, 7) + dt.timedelta(7 * k) for k in range(40)]
+    weekly = spark.createDataFrame([(day, day.year, (day.timetuple().tm_yday - 1) // 7 + 1, Decimal(1)) for day in days], "week_date date, calendar_year int, week_number int, sales decimal(12,2)")
+    years = {r.calendar_year: tuple(r)[1:3] for r in op.before_after_years(weekly, 4, 12).collect()}
+    assert years == {2019: (0, 0), 2020: (12, 12)} or years == {2020: (12, 12)}
+
+
 def test_impact_by_dimension(weekly):
     impact = {(r.dimension, r.value): (r.sales_before, r.sales_after, r.percent_change) for r in op.impact_by_dimension(weekly, "2020-06-15", 4).collect()}
     assert {k for k, _ in impact} == set(op.DIMENSIONS)

@@ -59,3 +59,12 @@ def test_interval_join_matches_every_interval(spark):
 def test_open_end_is_not_a_stay(nodes):
     assert op.closed_intervals(nodes).count() == 4
     assert op.closed_intervals(nodes.withColumn("end_date", F.lit(None).cast("date"))).count() == 0
+
+
+def test_open_ends_and_keys(spark):
+    points = spark.createDataFrame([(1, t("2020-01-05 10:00")), (2, t("2020-01-05 10:00")), (1, t("2019-12-31 00:00"))], "customer_id int, at timestamp_ntz")
+    spans = spark.createDataFrame([(1, "a", t("2020-01-01 00:00"), None), (2, "b", t("2020-01-06 00:00"), None), (2, "c", t("2020-01-01 00:00"), t("2020-01-05 09:00"))], "customer_id int, name string, lo timestamp_ntz, hi timestamp_ntz")
+    keyed = op.interval_join(points, spans, "at", "lo", "hi", by=["customer_id"])
+    assert rows(keyed, "customer_id", "at", "name") == [(1, t("2019-12-31 00:00"), None), (1, t("2020-01-05 10:00"), "a"), (2, t("2020-01-05 10:00"), None)]
+    first = op.first_interval(points, spans.drop("customer_id"), "at", "lo", "hi", "name")
+    assert rows(first, "customer_id", "name") == [(1, "a"), (1, None), (2, "a")]

@@ -6,8 +6,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from caseloom.plans import ledger as ledger_plans
 from caseloom.sources import readers, sinks
 from caseloom.sources.schemas import CASE_TABLES, schema
+from caseloom.sources.views import Views
 from caseloom.streaming import balance
 
 from .conftest import rows
@@ -64,18 +66,35 @@ def test_streamed_balance_equals_the_batch_balance(spark, tmp_path):
     # The second file holds an older transaction of customer 1 and a new customer.
     second = [(1, at - dt.timedelta(1), "withdrawal", Decimal("4.50")), (3, at, "deposit", Decimal("1.00"))]
 
+    schema = balance.balances(spark.createDataFrame([], TXN)).schema
+
     def run():
-        balance.start_balance_stream(spark.readStream.schema(TXN).parquet(source), target, checkpoint).awaitTermination()
-        return rows(balance.current_balances(spark, target))
+        stream = spark.readStream.schema(TXN).parquet(source)
+        balance.start_balance_stream(stream, target, checkpoint, compact_every=1).awaitTermination()
+        return rows(balance.current_balances(spark, target, schema, 1))
 
+    assert rows(balance.current_balances(spark, target, schema)) == []
     spark.createDataFrame(first, TXN).write.parquet(source)
     assert run() == [(1, Decimal("10.00"), 1, at), (2, Decimal("-3.00"), 1, at)]
     spark.createDataFrame(second, TXN).write.mode("append").parquet(source)
     streamed = run()
     assert streamed == [(1, Decimal("5.50"), 2, at), (2, Decimal("-3.00"), 1, at), (3, Decimal("1.00"), 1, at)]
     assert streamed == rows(balance.balances(spark.read.schema(TXN).parquet(source)))
-    # Nothing new: a further run changes nothing.
+    # Nothing new: a further run changes nothing. The second batch has compacted the first.
     assert run() == streamed
+    assert rows(spark.read.parquet(f"{target}/base")) == [(1, Decimal("10.00"), 1, at, 1), (2, Decimal("-3.00"), 1, at, 1)]
+    # A batch that comes again writes the same rows to the same place.
+    repeated = spark.read.parquet(f"{target}/changes/batch=1").cache()
+    repeated.count()
+    repeated.write.mode("overwrite").parquet(f"{target}/changes/batch=1")
+    assert rows(balance.current_balances(spark, target, schema, 1)) == streamed
+
+
+def test_stream_reads_a_table_of_several_files(spark, tmp_path):
+    spark.read.parquet("/root/testdata/sf0.001/events.parquet").repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    parts = ledger_plans.realtime_balance(Views(spark, str(tmp_path)))
+    whole = ledger_plans.realtime_balance(Views(spark, "/root/testdata/sf0.001"))
+    assert rows(parts) == rows(whole) and parts.count() > 0
 
 
 def test_append_matches_columns_by_name(spark):

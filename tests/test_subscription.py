@@ -76,6 +76,16 @@ def test_states_and_counts(subs, plans):
     assert rows(op.starters_between(subs, op.PRO_ANNUAL, "2020-01-01", "2021-01-01")) == [(3,)]
 
 
+def test_two_changes_on_one_day(spark, plans):
+    data = [(1, 0, "2020-01-01"), (1, 2, "2020-01-08"), (1, 4, "2020-01-08"), (1, 2, "2020-01-08"), (2, 1, "2020-01-02")]
+    subs = spark.createDataFrame([(c, p, d(day)) for c, p, day in data], "customer_id int, plan_id int, start_date date")
+    assert rows(op.next_state(subs, plans), "plan_name", "next_plan_name", "changes") == [("pro monthly", "churn", 1), ("trial", "pro monthly", 1)]
+    assert rows(op.state_as_of(subs, plans, "2020-01-31"), "plan_name", "customers") == [("basic monthly", 1), ("churn", 1)]
+    assert rows(op.churn_rate(subs)) == [(1, 50.0)]
+    assert rows(op.journey(subs, plans), "journey") == [("basic monthly (2020-01-02)",), ("trial (2020-01-01) > pro monthly (2020-01-08) > churn (2020-01-08)",)]
+    assert rows(op.payment_schedule(subs, plans, "2020-01-31"), "customer_id", "payment_date") == [(2, d("2020-01-02"))]
+
+
 def test_upgrades(subs):
     assert rows(op.upgrade_days(subs)) == [(16, 143), (19, 68), (2, 7)]
     assert rows(op.days_to_upgrade(subs)) == [(3, 72.67)]

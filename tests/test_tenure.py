@@ -29,10 +29,10 @@ def metrics(spark):
 
 def test_cleaning(spark):
     raw = inline_rows(spark, "interest_metrics", [
-        ("7", "2018", "07-2018", "32486", 11.89, 1, 99.86), ("NULL", "NULL", "NULL", "NULL", 1.5, 2, 1.0), ("8", "2018", "08-2018", "x1", 1.5, 2, 1.0),
+        ("3", "2021", "03-2021", "512", 4.25, 3, 88.5), ("NULL", "NULL", "NULL", "NULL", 1.5, 2, 1.0), ("8", "2018", "08-2018", "x1", 1.5, 2, 1.0),
     ])
     assert rows(clean.clean_metrics(raw), "_month", "month_year", "interest_id") == [
-        (7, m(7), 32486), (8, m(8), None), (None, None, None)
+        (3, dt.date(2021, 3, 1), 512), (8, m(8), None), (None, None, None)
     ]
 
 
@@ -81,6 +81,9 @@ def test_volatility_and_extremes(metrics):
     assert extremes[3] == (m(8), 99.0, m(7), 1.0)
     # Equal values: the latest month of the maximum, the earliest of the minimum.
     assert extremes[2] == (m(9), 90.0, m(7), 90.0)
+    # A month without a value is no extreme.
+    gaps = metrics.sparkSession.createDataFrame([(1, m(7), 5.0), (1, m(8), None), (1, m(9), 9.0)], "interest_id long, month_year date, percentile_ranking double")
+    assert tuple(op.extreme_months(gaps).first())[2:] == (m(9), 9.0, m(7), 5.0)
 
 
 def test_key_audit_counts_keys_and_rows(spark):
