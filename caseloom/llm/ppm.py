@@ -8,7 +8,7 @@ already ruled out no longer count. The model is pretrained: scores add up log10
 The trie is never in one place. Documents lie in parts; a part sends each distinct seven-byte string with its training count to the
 bucket of the last two context bytes. There the counts of all parts meet, the contexts of two to six bytes are complete, and every
 string of the part gets its log probability, which goes back to the part. Contexts of one byte and none are a table of 65,536
-counts, the only thing that is broadcast. Words of the unigram base model take the same way.
+counts, the only thing that is broadcast. Log probabilities travel with 24 bits, their sums are kept in double precision. Words of the unigram base model take the same way.
 
 Defined results: a null text is empty and has the end as its only token; a null id counts as an empty text for the split into
 training and held-out documents; repeated rows are scored and learned one by one; without training texts every byte is equally likely
@@ -29,6 +29,7 @@ from . import blocks as B, spans as S
 
 ORDER = 6
 PART_BYTES = 16 << 20
+STREAM_BYTES = 1 << 19
 FOLDS, HELD_OUT_FOLD = 10, 0
 ADDED = 0.1
 END_WORD = np.uint64(0x60D0E0D0E0D0E0D0)
@@ -138,7 +139,7 @@ def log_probabilities(grams: np.ndarray, counts: np.ndarray, pairs: np.ndarray)
 
 
 def _streams(column: pa.Array) -> Iterator[tuple]:
-    for row, data, offsets in B.blocks(column):
+    for row, data, offsets in B.blocks(column, STREAM_BYTES):
         starts, ends, owner = B.word_spans(data, offsets)
         words = B.span_hashes(B.prefix_sums(data, lower=True), starts, ends) >> _ONE
         stream, bounds, predicted = byte_stream(data, offsets, starts, ends, owner)
@@ -220,7 +221,7 @@ def replies(asked: DataFrame, pairs: np.ndarray) -> DataFrame:
             packed_keys = mine["keys"].to_pylist()
             keys = [B.expanded(k, "u8", ordered=True) for k in packed_keys]
             values, sums = merged(keys, [B.expanded(c, "i8") for c in mine["counts"].to_pylist()])
-            found = sums if kind == WORDS else log_probabilities(values, sums, table_of_pairs.value)
+            found = sums if kind == WORDS else log_probabilities(values, sums, table_of_pairs.value).astype(np.float32)
             for number, raw, own in zip(mine["part"].to_pylist(), packed_keys, keys, strict=True):
                 rows.append((number, kind, raw, B.squeezed(found[np.searchsorted(values, own)])))
         return pa.Table.from_batches([B.packed(rows, told)])
@@ -251,7 +252,7 @@ def scores(docs: DataFrame) -> DataFrame:
             return result.empty_table()
         ids, texts = _texts(left)
         words_known, word_counts = known(right, WORDS, "i8")
-        grams_known, gram_logs = known(right, GRAMS, "f8")
+        grams_known, gram_logs = known(right, GRAMS, "f4")
         n_tokens, n_known, base_score, scored = [], [], [], []
         for _, rows, words, owner, stream, bounds, predicted in _streams(texts):
             every, who = np.concatenate((words, np.full(rows, END_WORD))), np.concatenate((owner, np.arange(rows)))
