@@ -100,74 +100,49 @@ def penetration(lines: DataFrame) -> DataFrame:
     return per_product.withColumn("penetration", percent(F.col("transactions"), whole, 4))
 
 
-def _triples(sets: DataFrame) -> DataFrame:
-    """Counts of item triples over rows that hold one sorted item array each."""
-    first = sets.select("_items", F.posexplode("_items").alias("_p", "a"))
-    second = first.select("a", F.slice("_items", F.col("_p") + 2, F.size("_items")).alias("_rest"))
-    second = second.select("a", "_rest", F.posexplode("_rest").alias("_p", "b"))
-    third = second.select("a", "b", F.explode(F.slice("_rest", F.col("_p") + 2, F.size("_rest"))).alias("c"))
-    return third.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"))
+def _triples(fans: DataFrame) -> DataFrame:
+    """Triples of rows that hold a product and a sorted array of later ones."""
+    second = fans.select("a", "_rest", F.posexplode("_rest").alias("_p", "b"))
+    return second.select("a", "b", F.explode(F.slice("_rest", F.col("_p") + 2, F.size("_rest"))).alias("c"))
 
 
-def _sets(items: DataFrame) -> DataFrame:
-    return items.groupBy("_t").agg(F.array_sort(F.collect_list("_i")).alias("_items")).select("_items")
+def _pairs(items: DataFrame) -> DataFrame:
+    """Every two products of a transaction once, the smaller first."""
+    sets = items.groupBy("_t").agg(F.array_sort(F.collect_list("_i")).alias("_items"))
+    first = sets.select("_t", "_items", F.posexplode("_items").alias("_p", "a"))
+    return first.select("_t", "a", F.explode(F.slice("_items", F.col("_p") + 2, F.size("_items"))).alias("b"))
 
 
-def basket_triples(lines: DataFrame, max_items: int = 60, seed_items: int = 40) -> DataFrame:
-    """The most frequent combinations of three products in one transaction, all ties (JN16).
+def _counted_triples(pairs: DataFrame, strong: DataFrame | None) -> DataFrame:
+    """Counts of the triples whose three pairs are all strong."""
+    kept = pairs if strong is None else pairs.join(strong, ["a", "b"], "left_semi")
+    triples = _triples(kept.groupBy("_t", "a").agg(F.array_sort(F.collect_list("b")).alias("_rest")))
+    if strong is not None:
+        triples = triples.join(strong.select(F.col("a").alias("b"), F.col("b").alias("c")), ["b", "c"], "left_semi")
+    return triples.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"))
+
 
-    Exact for any basket size. The distinct (transaction, product) pairs are written once to the shared folder, and two
-    single numbers decide how to go on:
+def basket_triples(lines: DataFrame, seed_items: int = 40) -> DataFrame:
+    """The most frequent combinations of three products in one transaction, all ties (JN16).
 
-    1. Counting only the ``seed_items`` most frequent products gives a triple count that is really reached. Products in
-       fewer transactions than that cannot be part of a better triple and are dropped.
-    2. Baskets with up to ``max_items`` remaining products are expanded into triples row by row.
-    3. Larger baskets, if any, are not expanded. See ``_with_large_baskets``.
+    Exact, level by level, for baskets of any size. Counting only the ``seed_items`` most frequent products gives a triple
+    count that is really reached. Products in fewer transactions cannot be part of a better triple, nor can pairs in
+    fewer transactions; what is left is combined to triples of which all three pairs remain.
     """
-    pairs = lines.filter(F.col("quantity") >= 1).select(F.col("txn_id").alias("_t"), F.col("product_id").alias("_i"))
-    items = stage(pairs.distinct(), "basket-items")
+    bought = lines.filter(F.col("quantity") >= 1).select(F.col("txn_id").alias("_t"), F.col("product_id").alias("_i"))
+    items = stage(bought.distinct(), "basket-items")
     support = items.groupBy("_i").agg(F.count(F.lit(1)).alias("_s"))
     seed = support.orderBy(F.desc("_s"), "_i").limit(seed_items).select("_i")
-    reached = _triples(_sets(items.join(F.broadcast(seed), "_i"))).agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
+    seeded = _counted_triples(_pairs(items.join(F.broadcast(seed), "_i")), None)
+    reached = seeded.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
     kept = items if reached <= 1 else items.join(support.filter(F.col("_s") >= reached).select("_i"), "_i", "left_semi")
-
-    sizes = kept.groupBy("_t").agg(F.count(F.lit(1)).alias("_n"))
-    large_ids = sizes.filter(F.col("_n") > max_items).select("_t")
-    large_count = large_ids.count()
-    if large_count:
-        totals = _with_large_baskets(kept, large_ids, large_count)
-    else:
-        totals = _triples(_sets(kept))
+    pairs = stage(_pairs(kept), "basket-pairs")
+    strong = None
+    if reached > 1:
+        strong = stage(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= reached).select("a", "b"), "basket-strong")
+    totals = _counted_triples(pairs, strong)
     most = totals.agg(F.max("n")).scalar()
     return totals.filter(F.col("n") == most).select(
         F.col("a").alias("product_1"), F.col("b").alias("product_2"), F.col("c").alias("product_3"),
         F.col("n").alias("transactions"),
     )
-
-
-def _with_large_baskets(kept: DataFrame, large_ids: DataFrame, large_count: int) -> DataFrame:
-    """Counts of every triple that could be the most frequent one when some baskets are too large to expand.
-
-    A large basket adds at most one to a triple. So only the triples of the other baskets that could still win are
-    looked up in the large ones. Triples that occur in large baskets alone can win only if there are at least as many
-    large baskets as the best count so far; only then are their products, pruned by that count, combined.
-    """
-    large = kept.join(large_ids, "_t", "left_semi")
-    small = kept.join(large_ids, "_t", "left_anti")
-    counted = stage(_triples(_sets(small)), "basket-triples")
-    best = counted.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
-    near = counted.filter(F.col("n") >= best - large_count)
-    probe = near.select("a", "b", "c", F.explode(F.array("a", "b", "c")).alias("_i")).join(large, "_i")
-    in_large = probe.groupBy("a", "b", "c", "_t").agg(F.count(F.lit(1)).alias("_h")).filter("_h = 3")
-    found = near.unionByName(in_large.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n")))
-    needed = max(best, 1)
-    if large_count >= needed:
-        strong = large.groupBy("_i").agg(F.count(F.lit(1)).alias("_s")).filter(F.col("_s") >= needed).select("_i")
-        pruned = large.join(strong, "_i", "left_semi")
-        second, third = (pruned.select("_t", F.col("_i").alias(n)) for n in ("b", "c"))
-        alone = (
-            pruned.withColumnRenamed("_i", "a").join(second, "_t").filter("a < b").join(third, "_t").filter("b < c")
-            .groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= needed)
-        )
-        found = found.unionByName(alone.join(counted.select("a", "b", "c"), ["a", "b", "c"], "left_anti"))
-    return found.groupBy("a", "b", "c").agg(F.sum("n").alias("n"))

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..operators.clean import clean_metrics, clean_orders, clean_runs, clean_weekly
 from ..operators.funnel import event_types
+from ..operators.grouped import number_rows
 from ..operators.intervals import OPEN_END
 from ..operators.lists import ordered_names
 from ..operators.subscription import plan_table
@@ -174,7 +175,9 @@ class Views:
         """The words of the part names, numbered alphabetically: one row per word of the vocabulary."""
         names = self.t.part.select("p_name").distinct()
         words = names.select(F.explode(F.split("p_name", " ")).alias("topping_name")).distinct()
-        return words.select(F.row_number().over(Window.orderBy("topping_name")).alias("topping_id"), "topping_name")
+        # Numbered within and across first letters, so that no task sees the whole vocabulary.
+        numbered = number_rows(words.withColumn("_all", F.lit(0)), ["_all"], ["topping_name"], F.substring("topping_name", 1, 2), "topping_id")
+        return numbered.select(F.col("topping_id").cast("int").alias("topping_id"), "topping_name")
 
     @cached_property
     def recipes(self) -> DataFrame:

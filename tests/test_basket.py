@@ -70,11 +70,17 @@ CASES = {
 
 
 @pytest.mark.parametrize("name", CASES)
-@pytest.mark.parametrize("max_items,seed_items", [(4, 3), (60, 40)])
-def test_triples(spark, name, max_items, seed_items):
+@pytest.mark.parametrize("seed_items", [3, 40])
+def test_triples(spark, name, seed_items):
     data = [(i, p, 1) for i, items in enumerate(CASES[name]) for p in items]
     # Repeated lines and lines without quantity must not matter.
     data += data[::3] + [(0, 99, 0)]
     df = spark.createDataFrame(data, "txn_id int, product_id int, quantity int")
-    found = op.basket_triples(df, max_items, seed_items)
+    found = op.basket_triples(df, seed_items)
     assert sorted(tuple(r) for r in found.collect()) == brute_force(CASES[name])
+
+
+def test_triples_with_a_basket_of_thousands(spark):
+    baskets = [set(range(2000))] + [{1, 5, 9, 100 + k} for k in range(4)] + [{3, 4, 2000 + k} for k in range(9)]
+    df = spark.createDataFrame([(i, p, 1) for i, items in enumerate(baskets) for p in items], "txn_id int, product_id int, quantity int")
+    assert sorted(tuple(r) for r in op.basket_triples(df).collect()) == [(1, 5, 9, 5)]

@@ -13,8 +13,8 @@ QUERIES, ORACLES = all_queries(), all_oracles()
 
 # These write or stream when called, so their plan is the reading part only.
 EAGER = {"materialised_funnel", "realtime_balance", "basket_triples", "replaced_result", "appended_result"}
-# Windows over a frame whose size does not grow with the rows: one row per tenure length, per word of the vocabulary,
-# per cell of the percentile search, per top-k value.
+# Windows over a frame whose size does not grow with the rows: one row per tenure length, per first two letters of the
+# vocabulary, per cell of the percentile search, per top-k value.
 SMALL_GLOBAL_WINDOWS = {
     "tenure_cumulative", "basket_percentiles", "top_bottom_by_max", "explode_list", "common_exclusion", "recipe_list",
     "order_label", "ingredient_list", "ingredient_usage", "new_product",
