@@ -27,7 +27,7 @@ from . import blocks as B
 # Unicode white space. Fixed values.
 WHITE_SPACE = (*range(9, 14), 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
 OTHER, LETTER, NUMBER, SPACE = range(4)
-SLICE_BYTES = 24 << 20
+SLICE_BYTES = 8 << 20
 MOST_WORDS = 3_000_000
 
 _classes: list[np.ndarray] = []
