@@ -3,11 +3,11 @@
 The tree has a fixed depth: a line goes by its number of tokens, then by its first three tokens, to a leaf; tokens with a digit count
 as a variable field. In a leaf, a token that recurs at its position stays, any other becomes a variable field too; if few tokens do,
 the line's template is what remains, else the line is a template of its own. A template recurs if it stands in at least ``least``
-documents and in as many different surroundings (a sketch of the document's other leaves): a header or licence line does, a line of a
-document that has merely been copied does not.
+documents of as many different contents (a hash of all words of the document, none masked): a header or licence line does, and so do
+the lines of forms and logs that differ in their fields only; a line of a document that has merely been copied does not.
 
 Leaves, tokens of a leaf and templates are counted by key after adding up per part or per task, so no leaf, line or template is
-brought together in one task, however frequent. A part sends at most ``least`` surroundings of a leaf, enough to decide.
+brought together in one task, however frequent. A part sends at most ``least`` contents of a leaf, enough to decide.
 
 Defined results: lines end at line feeds, and a dropped line takes one with it; lines without tokens are kept; the first document is the
 one with the smallest id (null first), among equal ids by a hash of the text; rows with equal id and text are one document; a text of
@@ -34,7 +34,7 @@ _DIGIT[48:58] = True
 
 
 class Lines:
-    """The lines of the texts of a block: bounds, rows, leaves, surroundings, and the hashes of their masked tokens."""
+    """The lines of the texts of a block: bounds, rows, leaves, hashes of their words and of their texts, and of their masked tokens."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray) -> None:
         breaks = data == 10
@@ -55,24 +55,21 @@ class Lines:
         for k in range(DEPTH):
             leaf = B.mix(leaf * np.uint64(31) + np.where(self.sizes > k, padded[np.minimum(at + k, len(padded) - 1)], 0))
         self.leaves = leaf
-        self.surroundings = self._surroundings(len(offsets) - 1)
-
-    def _surroundings(self, rows: int) -> np.ndarray:
-        """For each line, a hash of the three smallest scrambled leaves of its text but its own: equal for copies of a text, mostly so
-        for near copies, different for other texts even if they share several lines."""
-        some = self.sizes > 0
-        who, what, _ = B.distinct_pairs(self.rows[some], B.mix(self.leaves[some] + np.uint64(77)))
-        place = np.arange(len(who)) - np.searchsorted(who, who)
-        lowest = np.zeros((rows, 4), np.uint64)
-        low = place < 4
-        lowest[who[low], place[low]] = what[low]
-        mine, others = B.mix(self.leaves + np.uint64(77)), lowest[self.rows]
-        own = others == mine[:, None]
-        own[:, 3] |= ~own[:, :3].any(axis=1)
-        out = np.zeros(len(mine), np.uint64)
-        for k in range(4):
-            out = np.where(own[:, k], out, B.mix(out * np.uint64(31) + others[:, k]))
-        return out
+        self.exact = self._exact(B.span_hashes(B.prefix_sums(data), words, ends))
+        self.contents = self._contents(len(offsets) - 1)
+
+    def _exact(self, words: np.ndarray) -> np.ndarray:
+        """A hash of the words of each line, nothing masked."""
+        order = np.arange(len(words)) - np.repeat(self.first, self.sizes)
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(B.mix(words) * (order.astype(np.uint64) * np.uint64(2) + np.uint64(1)))))
+        return B.mix(sums[self.first + self.sizes] - sums[self.first] + self.sizes.astype(np.uint64))
+
+    def _contents(self, rows: int) -> np.ndarray:
+        """For each line, a hash of all lines of its text, own words and variable fields included: equal for copies of a text,
+        different for texts with a field or a line of their own."""
+        sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(np.where(self.sizes > 0, B.mix(self.exact), np.uint64(0)))))
+        cuts = np.searchsorted(self.rows, np.arange(rows + 1))
+        return B.mix(sums[cuts[1:]] - sums[cuts[:-1]])[self.rows]
 
     def cuts(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """What goes with each line: its line feed, or the one before if it has none."""
@@ -81,42 +78,42 @@ class Lines:
 
 
 def recurring_leaves(documents: DataFrame, buckets: int, least: int) -> DataFrame:
-    """(part, leaves): for each part those of its leaves that have at least ``least`` surroundings in all documents."""
-    asked = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("leaves", pa.binary()), ("surroundings", pa.binary())])
+    """(part, leaves): for each part those of its leaves that have at least ``least`` contents in all documents."""
+    asked = pa.schema([("bucket", pa.int64()), ("part", pa.int64()), ("leaves", pa.binary()), ("contents", pa.binary())])
     told = pa.schema([("part", pa.int64()), ("leaves", pa.binary())])
 
     def ask(table: pa.Table) -> pa.Table:
         part = S.Part(table)
-        leaves, surroundings = [], []
+        leaves, contents = [], []
         for _, data, offsets in B.blocks(part.column()):
             lines = Lines(data, offsets)
             some = lines.sizes > 0
             leaves.append(lines.leaves[some])
-            surroundings.append(lines.surroundings[some])
-        leaf, surrounding, _ = B.distinct_pairs(np.concatenate(leaves), np.concatenate(surroundings))
+            contents.append(lines.contents[some])
+        leaf, content, _ = B.distinct_pairs(np.concatenate(leaves), np.concatenate(contents))
         new = np.concatenate(([True], leaf[1:] != leaf[:-1]))[: len(leaf)]
         place = np.arange(len(leaf)) - np.maximum.accumulate(np.where(new, np.arange(len(leaf)), 0))
-        leaf, surrounding = leaf[place < least], surrounding[place < least]
+        leaf, content = leaf[place < least], content[place < least]
         number = table["part"][0].as_py()
-        rows = [(b, number, x, y) for b, x, y in B.parted((leaf % np.uint64(buckets)).astype(np.int64), leaf, surrounding)]
+        rows = [(b, number, x, y) for b, x, y in B.parted((leaf % np.uint64(buckets)).astype(np.int64), leaf, content)]
         return pa.Table.from_batches([B.packed(rows, asked)])
 
     def decide(table: pa.Table) -> pa.Table:
-        leaf, surrounding = B.unpacked(table["leaves"], "u8"), B.unpacked(table["surroundings"], "u8")
+        leaf, content = B.unpacked(table["leaves"], "u8"), B.unpacked(table["contents"], "u8")
         from_part = np.repeat(np.asarray(table["part"]), np.asarray(B.lengths(table["leaves"], 8)))
-        values, counts = np.unique(B.distinct_pairs(leaf, surrounding)[0], return_counts=True)
+        values, counts = np.unique(B.distinct_pairs(leaf, content)[0], return_counts=True)
         often = values[counts >= least]
         chosen = np.isin(leaf, often)
         rows = [(p, np.unique(x)) for p, x in B.parted(from_part[chosen], leaf[chosen])]
         return pa.Table.from_batches([B.packed(rows, told)])
 
-    requests = documents.groupBy("part").applyInArrow(ask, "bucket long, part long, leaves binary, surroundings binary")
+    requests = documents.groupBy("part").applyInArrow(ask, "bucket long, part long, leaves binary, contents binary")
     return requests.groupBy("bucket").applyInArrow(decide, "part long, leaves binary")
 
 
 def candidate_lines(documents: DataFrame, leaves: DataFrame) -> DataFrame:
-    """Every line of a recurring leaf: id, tag, start, end, leaf, surrounding, line (hash) and its masked tokens (hashes)."""
-    schema = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("leaf", pa.int64()), ("surrounding", pa.int64()), ("line", pa.int64()), ("tokens", pa.list_(pa.int64()))])
+    """Every line of a recurring leaf: id, tag, start, end, leaf, content, line (hash) and its masked tokens (hashes)."""
+    schema = pa.schema([("id", pa.int64()), ("tag", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("leaf", pa.int64()), ("content", pa.int64()), ("line", pa.int64()), ("tokens", pa.list_(pa.int64()))])
 
     def pick(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
@@ -136,18 +133,18 @@ def candidate_lines(documents: DataFrame, leaves: DataFrame) -> DataFrame:
             tokens = lines.tokens[np.arange(ends[-1]) + np.repeat(lines.first[at] - (ends - sizes), sizes)]
             sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(B.mix(tokens) * (np.arange(len(tokens), dtype=np.uint64) - np.repeat(ends - sizes, sizes).astype(np.uint64) + np.uint64(1)))))
             line = B.mix(sums[ends] - sums[ends - sizes]) ^ lines.leaves[at]
-            columns = [ids[row + own], tags[row + own], start - offsets[own], end - offsets[own], lines.leaves[at].view(np.int64), lines.surroundings[at].view(np.int64), line.view(np.int64)]
+            columns = [ids[row + own], tags[row + own], start - offsets[own], end - offsets[own], lines.leaves[at].view(np.int64), lines.contents[at].view(np.int64), line.view(np.int64)]
             listed = pa.ListArray.from_arrays(pa.array(np.concatenate(([0], ends)), pa.int32()), pa.array(tokens.view(np.int64)))
             out.append(pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), listed], schema=schema))
         return pa.Table.from_batches(out, schema)
 
-    kind = "id long, tag long, start long, end long, leaf long, surrounding long, line long, tokens array<long>"
+    kind = "id long, tag long, start long, end long, leaf long, content long, line long, tokens array<long>"
     return documents.groupBy("part").cogroup(leaves.groupBy("part")).applyInArrow(pick, kind)
 
 
 def line_templates(lines: DataFrame, least: int, least_constant: float) -> DataFrame:
     """The template of every distinct line: leaf, line, template."""
-    distinct = lines.groupBy("leaf", "line", "surrounding").agg(F.first("tokens").alias("tokens"))
+    distinct = lines.groupBy("leaf", "line", "content").agg(F.first("tokens").alias("tokens"))
     distinct = distinct.groupBy("leaf", "line").agg(F.first("tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
     tokens = distinct.select("leaf", "line", "n", F.posexplode("tokens").alias("at", "token"))
     support = tokens.groupBy("leaf", "at", "token").agg(F.sum("n").alias("support"))
@@ -164,9 +161,9 @@ def dropped_spans(documents: DataFrame, parts: int, least: int = LEAST, least_co
     """Spans of the lines to drop, as rows of ``spans.KIND``."""
     lines = stage(candidate_lines(documents, recurring_leaves(documents, parts, least)), "template-lines")
     placed = stage(lines.drop("tokens").join(line_templates(lines, least, least_constant), ["leaf", "line"]), "template-places")
-    around = placed.select("template", "surrounding").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("surroundings"))
+    around = placed.select("template", "content").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("contents"))
     owners = placed.select("template", "id", "tag").distinct().groupBy("template").agg(F.count(F.lit(1)).alias("documents"), F.min(F.struct("id", "tag")).alias("first"))
-    often = owners.join(around, "template").where((F.col("documents") >= least) & (F.col("surroundings") >= least)).select("template", "first")
+    often = owners.join(around, "template").where((F.col("documents") >= least) & (F.col("contents") >= least)).select("template", "first")
     drops = placed.join(often, "template").where((F.col("id") != F.col("first.id")) | (F.col("tag") != F.col("first.tag"))).select("id", "tag", "start", "end")
 
     def pack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:

@@ -293,6 +293,26 @@ def test_templates(spark):
     assert all(found[100 + k] == copied for k in range(20))
 
 
+def test_templates_of_forms_and_logs(spark):
+    rnd = random.Random(8)
+
+    def word():
+        return "".join(rnd.choice("abcdefghijklmnop") for _ in range(6))
+
+    def line(n=8):
+        return " ".join(word() for _ in range(n))
+
+    forms = [(k, f"Order form of the shop\nName of the person who ordered it : {word()}\nPaid on day {k} of the year") for k in range(40)]
+    logs = [(100 + k, f"session opened for the user {word()} by the login service of host {k}") for k in range(40)]
+    shared = [line() for _ in range(30)]
+    blocks = [(200 + k, "\n".join([*shared, line()])) for k in range(50)]
+    rows = forms + logs + blocks
+    found = {r["doc_id"]: r["text"] for r in templates.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert all(found[d] == t for d, t in rows if d in (0, 100, 200))
+    assert all(found[d] == "" for d, _ in forms[1:] + logs[1:])
+    assert all(found[d].strip() == t.split("\n")[-1] for d, t in blocks[1:])
+
+
 def test_mixing(spark):
     rows = [(k, " ".join("w" * (k % 7 + 1)), "en", ["a", "b", None, "c"][k % 4 if k % 9 else 0], 0) for k in range(400)]
     frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
