@@ -313,6 +313,28 @@ def test_templates_of_forms_and_logs(spark):
     assert all(found[d].strip() == t.split("\n")[-1] for d, t in blocks[1:])
 
 
+def test_lines_of_few_unrelated_documents(spark):
+    rnd = random.Random(9)
+
+    def line(n=8):
+        return " ".join("".join(rnd.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(n))
+
+    rows, shared = [], {}
+    for n in range(2, 10):  # a line in n unrelated documents
+        shared[n] = line(60 if n % 2 else 6)
+        rows += [(10 * n + k, "\n".join([line(), line(), shared[n], line()])) for k in range(n)]
+    base = [line() for _ in range(6)]
+    near = [(200 + k, "\n".join([*base[:k], line(), *base[k + 1 :]])) for k in range(5)]  # near copies
+    short = [(300 + k, "\n".join([line(), "see also", line(), line()])) for k in range(5)]
+    rows += near + short + [(400, rows[0][1]), (401, rows[0][1])]  # copies
+    found = {r["doc_id"]: r["text"] for r in templates.dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    for n, text in shared.items():
+        for k in range(n):
+            assert (text in found[10 * n + k]) == (k == 0) and len(found[10 * n + k].split("\n")) == 3 + (k == 0)
+    assert all(found[d] == t for d, t in near + short)
+    assert found[400] == found[401] == "\n".join(x for x in rows[0][1].split("\n") if x != shared[2])
+
+
 def test_mixing(spark):
     rows = [(k, " ".join("w" * (k % 7 + 1)), "en", ["a", "b", None, "c"][k % 4 if k % 9 else 0], 0) for k in range(400)]
     frame = spark.createDataFrame(rows, SCHEMA).repartition(3)
