@@ -2,10 +2,11 @@
 
 Equal multisets are one content, found by a 64-bit hash, so thousands of copies cost one row each. Contents that agree in a band of
 their signatures are members of a bucket. Every bucket has a centre, with which its members are compared, first by signature, then
-exactly by the overlap of the two multisets; links join contents into classes. Buckets that share members form clusters. Where a
-cluster has more than one class, the members outside the largest class, few in a group of near copies, are compared with all its
-members, in blocks of bounded size that return one link for each straggler and class. So pairs within a class are never made, and
-no link between members of a cluster is lost.
+exactly by the overlap of the two multisets; links join contents into classes. Where a bucket of three or more then has more than
+one class, its members outside its largest class, few in a group of near copies, are compared with its members of other classes. Both
+sides are cut into blocks of at most about ``BLOCK_MEMBERS``, and each pair of blocks is a group of its own that returns one link for
+each straggler and class. A pair that shares several buckets is compared in the first of them only. So pairs within a class are
+never made, and no link between members of a bucket is lost.
 
 Similarity is the weighted Jaccard index: the sum of the smaller counts over the sum of the larger ones.
 
@@ -28,7 +29,7 @@ from . import blocks as B
 SHINGLE = 5
 COMPONENTS, ROWS_PER_BAND = 96, 4
 LEAST_SIMILARITY = 0.8
-BLOCK_MEMBERS = 512
+BLOCK_MEMBERS = 256
 _ONE = np.uint64(1)
 
 
@@ -226,20 +227,35 @@ def overlaps(values: np.ndarray, counts: np.ndarray, all_values: np.ndarray, all
     return np.bincount(owner, np.where(values[at] == all_values, np.minimum(counts[at], all_counts), 0), rows)
 
 
-def straggler_links(members: DataFrame, least: float) -> DataFrame:
-    """Links between the classes of a cluster that first comparisons have left apart.
-
-    ``members``: cluster, root, content, signature, shingles. The members outside a cluster's largest class are compared with all
-    members, in blocks of bounded size; of the links of a straggler with one class in one block only the first is returned."""
-    sizes = members.groupBy("cluster", "root").agg(F.count(F.lit(1)).alias("n"))
-    totals = sizes.groupBy("cluster").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"), F.max(F.struct("n", "root"))["root"].alias("largest"))
-    # A cluster of two has been compared already.
-    open_ = totals.where("classes > 1 AND total > 2").withColumn("blocks", F.ceil(F.col("total") / BLOCK_MEMBERS).cast("int"))
-    placed = stage(members.join(open_, "cluster"), "minhash-open")
-    columns = ["cluster", "block", "root", "content", "signature", "shingles"]
-    again = placed.select(*(F.col(c).alias(c) for c in placed.columns))  # other columns for Spark, so both sides can meet
-    whole = again.withColumn("block", F.pmod(F.xxhash64("content"), F.col("blocks")).cast("int")).select(*columns)
-    stragglers = placed.where("root <> largest").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(*columns)
+def straggler_blocks(members: DataFrame, contents: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Members and stragglers of the buckets that still have several classes, dealt to a grid of blocks: (bucket, row, block, root,
+    content, signature, shingles); a straggler has one row of the grid and stands in all its blocks, a member the other way round.
+
+    ``members``: bucket, content; ``contents``: content, root, signature, shingles."""
+    placed = members.join(contents.select("content", "root"), "content")
+    sizes = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
+    totals = sizes.groupBy("bucket").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("classes"), F.max(F.struct("n", "root")).alias("largest"))
+    # A bucket of two has been compared already.
+    open_ = totals.where("classes > 1 AND total > 2").select(
+        "bucket", F.col("largest.root").alias("largest"),
+        F.ceil((F.col("total") - F.col("largest.n")) / BLOCK_MEMBERS).cast("int").alias("rows"), F.ceil(F.col("total") / BLOCK_MEMBERS).cast("int").alias("blocks"),
+    )
+    placed = stage(placed.join(open_, "bucket"), "minhash-open")
+    row, block = (F.pmod(F.xxhash64("content", F.lit(k)), F.col(n)).cast("int") for k, n in enumerate(("rows", "blocks")))
+    every_row, every_block = (F.explode(F.sequence(F.lit(0), F.col(n) - 1)) for n in ("rows", "blocks"))
+    whole = placed.withColumn("row", every_row).withColumn("block", block)
+    stragglers = placed.where("root <> largest").withColumn("row", row).withColumn("block", every_block)
+    named = contents.select("content", "signature", "shingles")
+    columns = ["bucket", "row", "block", "root", "content", "signature", "shingles"]
+    one, two = (x.select("bucket", "row", "block", "root", "content").join(named, "content").select(*columns) for x in (whole, stragglers))
+    return one, two.select(*(F.col(c).alias(c) for c in columns))
+
+
+def straggler_links(members: DataFrame, contents: DataFrame, least: float) -> DataFrame:
+    """Links between the classes of a bucket that first comparisons have left apart.
+
+    Of the links of a straggler with one class in one pair of blocks only the first is returned."""
+    whole, stragglers = straggler_blocks(members, contents)
     slack = least - 5 * (least * (1 - least) / COMPONENTS) ** 0.5
     out = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("similarity", pa.float64())])
 
@@ -250,9 +266,12 @@ def straggler_links(members: DataFrame, least: float) -> DataFrame:
             size = B.lengths(left["shingles"], 8)
             owner, value, count = B.distinct_pairs(np.repeat(np.arange(len(size)), size), B.unpacked(left["shingles"], "u8"))
             others = B.unpacked(right["signature"], "u4").reshape(-1, COMPONENTS)
+            keys, other_keys, bucket = band_keys(signature), band_keys(others), np.array(left["bucket"][0].as_py()).astype(np.int64).view(np.uint64)
+            band = int(np.flatnonzero((other_keys == bucket).any(axis=0))[0])
             roots, names, sets = right["root"].to_pylist(), right["content"].to_pylist(), right["shingles"].to_pylist()
             for k in range(right.num_rows):
                 likely = ((signature == others[k]).mean(axis=1) >= slack) & (root != roots[k])
+                likely &= ~(keys[:, :band] == other_keys[k, :band]).any(axis=1)  # those have met in an earlier bucket
                 if not likely.any():
                     continue
                 own = np.frombuffer(sets[k], np.uint64)
@@ -266,7 +285,8 @@ def straggler_links(members: DataFrame, least: float) -> DataFrame:
                     found.append((a, b, float(score[at])))
         return pa.Table.from_arrays([pa.array([x[j] for x in found], f.type) for j, f in enumerate(out)], schema=out)
 
-    pairs = whole.groupBy("cluster", "block").cogroup(stragglers.groupBy("cluster", "block"))
+    keys_ = ("bucket", "row", "block")
+    pairs = whole.groupBy(*keys_).cogroup(stragglers.groupBy(*keys_))
     return pairs.applyInArrow(compare, "a long, b long, similarity double").dropDuplicates(["a", "b"])
 
 
@@ -283,10 +303,8 @@ def class_links(docs: DataFrame, contents: DataFrame, least: float = LEAST_SIMIL
     pairs = stage(pairs.distinct(), "minhash-pairs")
     links = stage(linked(agreeing(pairs, known, least), sets, least), "minhash-links")
     roots = components(links)
-    clusters = components(pairs)
-    placed = clusters.select("content", F.col("root").alias("cluster")).unionByName(clusters.select(F.col("root").alias("content"), F.col("root").alias("cluster")).distinct())
-    placed = placed.join(roots, "content", "left").withColumn("root", F.coalesce("root", "content"))
-    more = stage(straggler_links(placed.join(known.select("content", "signature"), "content").join(sets, "content"), least), "minhash-stragglers")
+    placed = known.select("content", "signature").join(sets, "content").join(roots, "content", "left").withColumn("root", F.coalesce("root", "content"))
+    more = stage(straggler_links(members, placed, least), "minhash-stragglers")
     links = links.unionByName(more)
     return links, components(links)
 

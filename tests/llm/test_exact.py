@@ -261,6 +261,21 @@ def test_near_copies(spark):
     assert all(r["keep"] == (r["class_id"] == d) for d, r in found.items())
 
 
+def test_stragglers_and_members_meet_once_in_bounded_groups(spark, monkeypatch):
+    monkeypatch.setattr(bagminhash, "BLOCK_MEMBERS", 8)
+    count = 100
+    members = spark.createDataFrame([(1, k) for k in range(count)] + [(2, 0), (2, 1)], "bucket long, content long")
+    contents = spark.createDataFrame([(k, 0 if k < 20 else k, b"", b"") for k in range(count)], "content long, root long, signature binary, shingles binary")
+    sides = [collections.defaultdict(set) for _ in range(2)]
+    for side, frame in zip(sides, bagminhash.straggler_blocks(members, contents), strict=True):
+        for r in frame.collect():
+            assert r["bucket"] == 1
+            side[r["row"], r["block"]].add(r["content"])
+    assert all(len(x) <= 4 * 8 for side in sides for x in side.values())  # of 100 members and 80 stragglers
+    met = collections.Counter((a, b) for key in sides[0] for a in sides[0][key] for b in sides[1].get(key, ()))
+    assert met == {(a, b): 1 for a in range(count) for b in range(20, count)}
+
+
 def test_signatures_are_unbiased():
     rnd, off = np.random.default_rng(1), []
     for _ in range(20):
