@@ -174,7 +174,16 @@ def multisets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             rows += [(content[k], what[cuts[k] : cuts[k + 1]]) for k in range(count)]
         yield B.packed(rows, schema)
 
-    picked = B.normal_documents(docs).join(wanted.select("doc_id"), "doc_id", "left_semi")
+    def add(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        found = [contents_of(len(offsets) - 1, *shingles(data, offsets)) for _, data, offsets in B.blocks(batch.column(1))]
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(found))], ["doc_id", "text", "content"])
+
+    base = B.normal_documents(docs)
+    picked = base.join(wanted.where("doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_semi")
+    # Contents of which no document has an id are found by their hash.
+    lone = B.per_batch(base.where("doc_id IS NULL"), add, f"doc_id long, text {base.schema['text'].dataType.simpleString()}, content long")
+    lone = lone.join(wanted.where("doc_id IS NULL").select("content"), "content", "left_semi").dropDuplicates(["content"])
+    picked = picked.select("doc_id", "text").unionByName(lone.select("doc_id", "text"))
     return B.per_batch(picked, gather, "content long, shingles binary").dropDuplicates(["content"])
 
 

@@ -276,6 +276,17 @@ def test_stragglers_and_members_meet_once_in_bounded_groups(spark, monkeypatch):
     assert met == {(a, b): 1 for a in range(count) for b in range(20, count)}
 
 
+def test_near_copies_without_ids(spark):
+    rnd = random.Random(5)
+    stock = [f"w{k}" for k in range(3000)]
+    base = [rnd.choice(stock) for _ in range(150)]
+    near, far = [*base[:-1], "changed"], [rnd.choice(stock) for _ in range(150)]
+    frame = spark.createDataFrame([(None, " ".join(x)) for x in (base, near, far)], "doc_id long, text string").repartition(2)
+    assert [r["links"] for r in bagminhash.op9_bagminhash(frame).orderBy("links").collect()] == [0, 1, 1]
+    kept = [r["text"] for r in bagminhash.kept_documents(frame).collect()]
+    assert len(kept) == 2 and " ".join(far) in kept
+
+
 def test_signatures_are_unbiased():
     rnd, off = np.random.default_rng(1), []
     for _ in range(20):
