@@ -12,7 +12,8 @@ Similarity is the weighted Jaccard index: the sum of the smaller counts over the
 
 Defined results: words are runs without white space, A-Z as a-z; a text of one to four words is one shingle; texts without words are
 one class; a null text is empty; the class id is the smallest document id of the class, null only if all are; documents with equal ids
-are told apart by content; rows with equal id and text are one document.
+are told apart by content; rows with equal id and content (texts that differ in case or white space only, say) are one document, with one
+result for each row; ``kept_documents`` returns one row of it, the one with the smallest hash.
 """
 
 from __future__ import annotations
@@ -337,7 +338,7 @@ def classified(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFrame:
-    """One document of each class, the one with the smallest id; columns as they were."""
+    """One row of each class: a row of the document with the smallest id, the one with the smallest hash; columns as they were."""
     columns = docs.columns
     at = columns.index("text")
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema), "_content long"])
@@ -346,10 +347,19 @@ def kept_documents(docs: DataFrame, least: float = LEAST_SIMILARITY) -> DataFram
         found = [contents_of(len(offsets) - 1, *shingles(data, offsets)) for _, data, offsets in B.blocks(batch.column(at))]
         yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found))], [*columns, "_content"])
 
-    dropped = classified(docs, least).where(~F.col("keep")).select(F.col("doc_id").alias("_id"), F.col("content").alias("_gone")).distinct()
-    marked = B.per_batch(docs, add, schema)
-    gone = marked["_content"].eqNullSafe(dropped["_gone"]) & marked["doc_id"].cast("bigint").eqNullSafe(dropped["_id"])
-    return marked.join(dropped, gone, "left_anti").select(*(F.col(f"`{c}`") for c in columns))
+    keys = classified(docs, least).groupBy(F.col("doc_id").alias("_id"), F.col("content").alias("_gone")).agg(F.first("keep").alias("keep"), F.count(F.lit(1)).alias("n"))
+    gone = stage(keys.where("NOT keep OR n > 1"), "minhash-gone")
+    again = gone.where("keep").select(F.col("_id").alias("_same_id"), F.col("_gone").alias("_same"))
+    left = [F.col(f"`{c}`") for c in columns]
+    rest = B.per_batch(docs, add, schema)
+    rest = rest.join(gone, rest["_content"].eqNullSafe(gone["_gone"]) & rest["doc_id"].cast("bigint").eqNullSafe(gone["_id"]), "left_anti").select(*left)
+    # Of repeated rows of a kept document one stays; only rows with such an id are looked at again.
+    some = docs.select(*left).join(again.select("_same_id").distinct(), F.col("doc_id").cast("bigint").eqNullSafe(F.col("_same_id")), "left_semi")
+    some = B.per_batch(some, add, schema)
+    some = some.join(again, some["_content"].eqNullSafe(again["_same"]) & some["doc_id"].cast("bigint").eqNullSafe(again["_same_id"]), "left_semi")
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    one = some.groupBy("doc_id", "_content").agg(F.min_by(F.struct(*left), F.xxhash64(*hashed)).alias("_row"))
+    return rest.unionByName(one.select(*(F.col(f"_row.`{c}`").alias(c) for c in columns)))
 
 
 def op9_bagminhash(docs: DataFrame) -> DataFrame:

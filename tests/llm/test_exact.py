@@ -287,6 +287,16 @@ def test_near_copies_without_ids(spark):
     assert len(kept) == 2 and " ".join(far) in kept
 
 
+def test_one_row_of_each_class_is_kept(spark):
+    text = "one text of more than five words that stands in several rows"
+    rows = [(1, text, "en")] * 30 + [(1, text.upper(), "en"), (1, text.replace(" ", "  "), None), (2, text, "en"), (3, "another text with words of its own in it", "en")]
+    rows += [(None, "a text without an id that has more than five words", None)] * 4
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = [sorted(map(str, bagminhash.kept_documents(frame.repartition(n)).collect())) for n in (3, 5)]
+    assert found[0] == found[1] and sorted(str(r["doc_id"]) for r in bagminhash.kept_documents(frame).collect()) == ["1", "3", "None"]
+    assert bagminhash.op9_bagminhash(frame).count() == len(rows)
+
+
 def test_signatures_are_unbiased():
     rnd, off = np.random.default_rng(1), []
     for _ in range(20):
