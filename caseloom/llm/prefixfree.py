@@ -1,4 +1,7 @@
-"""Suffix-array dedup by prefix-free parsing: bytes covered by a long string that also starts earlier are removed.
+"""Dedup of long repeated strings by winnowed anchors and hashed windows: bytes covered by a string that also starts earlier are removed.
+
+Stands in for suffix-array dedup by prefix-free parsing and has its results: triggers play the part of its phrase bounds, but no parse is
+written and no suffix array of dictionary or parse is built; windows are matched by hash and nothing is put in corpus order.
 
 Parsing: a rolling hash runs over all 32-byte strings; a string is a trigger where its hash is the smallest of any 100-byte window.
 Triggers depend on the bytes around them only and cut all texts into phrases; every 100-byte window holds a trigger, so windows can
@@ -6,9 +9,9 @@ only be equal if they stand around equal triggers.
 
 Dictionary: the context of a trigger, all windows that hold it, is one entry; equal contexts are one entry with its first place.
 Later places are repeats as a whole and need no further look. Only where one trigger has several contexts are the windows themselves
-put in order: the first place of each context sends its bytes, windows are ordered by 64-bit hashes, and a window is a repeat if an
-equal one starts before it. Text that occurs once never gets that far, so suffixes are sorted only where the text repeats, and
-their order is that of phrases first and of places within equal strings second.
+compared: the first place of each context sends its bytes, windows are grouped by 64-bit hashes, and a window is a repeat if an
+equal one starts before it. Text that occurs once never gets that far, so windows are sorted (by hash, then place) only where
+the text repeats.
 
 Everything moves as packed arrays. A batch sends only its first place of each context. A trigger with very many contexts (a passage
 in very many documents) sends its windows one by one, dealt by window instead of by trigger.
