@@ -7,7 +7,7 @@ whole distance can still be among the best found so far; if not (beyond 1 + CONF
 Survivors are measured on the original vectors in double precision.
 
 Lists are split into blocks of bounded size by a hash of the id, so a vector that a third of all rows repeat fills many blocks, each
-scanned in a task of its own; a block gives at most ``k`` candidates for a query, merged by query.
+scanned in a task of its own; queries are cut into blocks of about ``QUERY_ROWS`` too, and a group holds one block of each. It gives at most ``k`` candidates for a query, merged by query.
 
 The share of lists to probe is set for vectors without clusters, as in the test tables: there a query's neighbours are spread over most
 lists (recall 0.72 to 0.82 at a share of 0.3, 0.84 to 0.94 at 0.5, 0.97 and more at 0.75). Clustered vectors need far fewer.
@@ -35,6 +35,7 @@ PROBED_SHARE = 0.75
 LEAST_PROBED = 8
 MOST_FEW = 256
 BLOCK_ROWS = 8192
+QUERY_ROWS = 16384
 COLUMNS = 16
 CONFIDENCE = 2.1
 
@@ -107,6 +108,11 @@ def scan(query: np.ndarray, rotated_query: np.ndarray, originals: np.ndarray, ro
     return ids[kept][best], score[best]
 
 
+def query_blocks_of(ids: np.ndarray, blocks: int) -> np.ndarray:
+    """The block of each query."""
+    return (B.mix(ids.view(np.uint64) + np.uint64(5)) % np.uint64(blocks)).astype(np.int64)
+
+
 def search(vectors: DataFrame, is_query: Column, k: int = 10, probed_share: float = PROBED_SHARE) -> DataFrame:
     """query_id, rank (from 1), vec_id and score (Euclidean distance) of the ``k`` nearest rows found for each query."""
     spark = vectors.sparkSession
@@ -120,6 +126,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, probed_share: floa
     turn = rotation(points.shape[1])
     centres = spark.sparkContext.broadcast(fit_centroids(points, int(min(MOST_LISTS, max(1, len(points) // 16), max(4, rows**0.5)))))
     turned = spark.sparkContext.broadcast(turn)
+    query_blocks = max(1, -(-base.where(is_query).count() // QUERY_ROWS))
     indexed = pa.schema([("list", pa.int64()), ("block", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())])
 
     def assign(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -136,14 +143,16 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, probed_share: floa
     splits = dict(zip(lists.tolist(), (-(-sizes // BLOCK_ROWS)).tolist(), strict=True))
     least = max(LEAST_PROBED, int(np.ceil(probed_share * len(lists))))
 
+    met = pa.schema([("list", pa.int64()), ("block", pa.int64()), ("query_block", pa.int64()), ("ids", pa.binary()), ("vectors", pa.binary())])
+
     def deal(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
         for n, raw_ids, raw in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
             ids = np.frombuffer(raw_ids, np.int64)
             data = np.frombuffer(raw).reshape(len(ids), -1)
             block = (B.mix(ids.view(np.uint64)) % np.uint64(splits[n])).astype(np.int64)
-            rows += [(n, b, i, v) for b, i, v in B.parted(block, ids, data)]
-        yield B.packed(rows, indexed)
+            rows += [(n, b, q, i, v) for b, i, v in B.parted(block, ids, data) for q in range(query_blocks)]
+        yield B.packed(rows, met)
 
     def probe(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         data, ids = matrix(batch.column(1)), np.asarray(batch.column(0))
@@ -152,9 +161,11 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, probed_share: floa
         wanted = np.maximum(least, (reach < MOST_FEW).sum(1) + 1)
         who, place = np.nonzero(np.arange(len(lists))[None, :] < wanted[:, None])
         rows = []
-        for n, i, v in B.parted(lists[order[who, place]], ids[who], data[who]):
-            rows += [(n, b, i, v) for b in range(splits[n])]
-        yield B.packed(rows, indexed)
+        query_block = query_blocks_of(ids, query_blocks)
+        for cell, i, v in B.parted(lists[order[who, place]] * query_blocks + query_block[who], ids[who], data[who]):
+            n, q = divmod(cell, query_blocks)
+            rows += [(n, b, q, i, v) for b in range(splits[n])]
+        yield B.packed(rows, met)
 
     def scan_block(left: pa.Table, right: pa.Table) -> pa.Table:
         out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.float64())])
@@ -167,10 +178,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 10, probed_share: floa
         count = [len(x) for x, _ in found]
         return pa.Table.from_arrays([pa.array(np.repeat(own, count)), pa.array(np.concatenate([x for x, _ in found])), pa.array(np.concatenate([y for _, y in found]))], schema=out)
 
-    layout = "list long, block long, ids binary, vectors binary"
+    layout = "list long, block long, query_block long, ids binary, vectors binary"
     candidates = B.per_batch(index, deal, layout)
     queries = B.per_batch(base.where(is_query), probe, layout)
-    found = candidates.groupBy("list", "block").cogroup(queries.groupBy("list", "block")).applyInArrow(scan_block, "query_id long, vec_id long, score double")
+    found = candidates.groupBy("list", "block", "query_block").cogroup(queries.groupBy("list", "block", "query_block")).applyInArrow(scan_block, "query_id long, vec_id long, score double")
     best = Window.partitionBy("query_id").orderBy("score", "vec_id")  # at most k rows of every probed block
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 

@@ -310,6 +310,17 @@ def test_signatures_are_unbiased():
     assert abs(np.mean(off)) < 0.01 and np.std(off) < 0.03
 
 
+def test_query_blocks_are_bounded_and_change_nothing(spark, monkeypatch):
+    rnd = np.random.default_rng(3)
+    frame = spark.createDataFrame([(k, [float(x) for x in v]) for k, v in enumerate(rnd.normal(size=(300, 6)))], "vec_id long, embedding array<float>")
+    query = frame["vec_id"] % 5 == 0
+    whole = sorted(tuple(r) for r in adscan.search(frame, query, 3).collect())
+    assert len(whole) == 60 * 3
+    monkeypatch.setattr(adscan, "QUERY_ROWS", 10)
+    assert sorted(tuple(r) for r in adscan.search(frame, query, 3).collect()) == whole
+    assert np.bincount(adscan.query_blocks_of(np.arange(0, 30_000, 5), 6)).max() < 1200
+
+
 def test_templates(spark):
     rnd = random.Random(6)
 
