@@ -7,7 +7,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import adscan, bagminhash, bpe, gearchunks, imatch, mixing, ordinal, ppm, prefixfree, templates
+from . import adscan, bagminhash, bpe, filteraudit, gearchunks, imatch, mixing, ordinal, ppm, prefixfree, templates, wordbpe, zonemine
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -38,8 +38,11 @@ def queries() -> dict[str, Query]:
         "op8_prefix_free": lambda spark, sf_dir: prefixfree.op8_prefix_free(docs(spark, sf_dir)),
         "op9_bagminhash": lambda spark, sf_dir: bagminhash.op9_bagminhash(docs(spark, sf_dir)),
         "op10_gear_chunks": lambda spark, sf_dir: gearchunks.op10_gear_chunks(docs(spark, sf_dir)),
+        "op11_zone_mining": lambda spark, sf_dir: zonemine.op11_zone_mining(table(spark, sf_dir, "embeddings")),
+        "op12_filter_audit": lambda spark, sf_dir: filteraudit.op12_filter_audit(docs(spark, sf_dir), table(spark, sf_dir, "labels")),
+        "op13_word_bpe": lambda spark, sf_dir: wordbpe.op13_word_bpe(spark, docs(spark, sf_dir)),
     }
 
 
 def oracles() -> dict[str, str]:
-    return {"op6_mixing": mixing.ORACLE}
+    return {"op6_mixing": mixing.ORACLE, "op11_zone_mining": zonemine.ORACLE, "op12_filter_audit": filteraudit.ORACLE}
