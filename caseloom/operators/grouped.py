@@ -7,10 +7,12 @@ result back. The joins are plain equi-joins, so adaptive execution can split a s
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+
+from ..sources.sinks import stage
 
 
 def join_back(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
@@ -112,37 +114,77 @@ def not_in(df: DataFrame, col: str, listed: DataFrame, listed_col: str) -> DataF
     return kept.filter((facts["n"] == 0) | ((facts["nulls"] == 0) & F.col(col).isNotNull()))
 
 
-def order_statistics(df: DataFrame, value: str, fractions: Sequence[float], cells: int = 4096) -> DataFrame:
-    """Exact interpolated percentiles of an integer column, one row per fraction (AG24).
+def ordinal(value: str, kind: T.DataType) -> tuple[Column, Column]:
+    """An integer in the order of a column (whole numbers, dates, decimals of up to 18 digits), and the way back from ``_cell``."""
+    if isinstance(kind, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.col(value).cast("long"), F.col("_cell").cast(kind)
+    if isinstance(kind, T.DateType):
+        return F.unix_date(value).cast("long"), F.date_from_unix_date(F.col("_cell").cast("int"))
+    if isinstance(kind, T.DecimalType) and kind.precision <= 18:
+        unit = F.lit(10**kind.scale).cast(T.DecimalType(19, 0))
+        return (F.col(value) * unit).cast("long"), (F.col("_cell").cast(T.DecimalType(19, 0)) / unit).cast(kind)
+    raise TypeError(f"ranks are selected among whole numbers, dates and decimals of up to 18 digits, not {kind.simpleString()}")
+
+
+def running_cells(cells: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The cells of each key with ``_upto``, the number of rows in a cell and all before it, and ``_total``, that in all cells."""
+    order = Window.partitionBy(*keys).orderBy("_cell")
+    return cells.withColumns({
+        "_upto": F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "_total": F.sum("_n").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)),
+    })
+
 
-    Reads ``df`` three times (the bounds at once, when called), so pass a stored or cheap one.
-    Two counting passes replace the global sort. The first counts values in at most ``cells`` + 1 equal cells and
-    finds the cells that hold the wanted ranks. The second counts the distinct values of those cells only. Rows are
-    combined before every shuffle; what is shuffled is one row per cell, then one per distinct value of a few cells.
+def radix_select(df: DataFrame, keys: Sequence[str], value: str, targets: Callable[[Column], list[Column]], cells: int = 4096) -> DataFrame:
+    """The values at some ranks of every group (``keys`` may be empty): a row for each target with its fields and ``value`` (AG14, AG24).
+
+    ``targets`` makes structs with a field ``rank`` (from 1) out of the number of rows of the group; NULL values do not count.
+    Works when called: counts per value are stored once. Then a histogram is refined: the first pass counts rows in at most ``cells``
+    equal cells (values without their low bits) and finds the cell of every rank; each further pass opens only the cells that were
+    hit, into ``cells`` cells of their own, until a cell is one value wide. A pass moves one row per cell, so neither outliers nor a
+    group with very many different values bring more than ``cells`` rows to one place.
     """
-    present = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("_v"))
-    least, most, total = present.agg(F.min("_v"), F.max("_v"), F.count("_v")).first()
-    least, most = least or 0, most or 0
-    width = (most - least) // cells + 1
-    celled = present.withColumn("_cell", F.floor((F.col("_v") - least) / width))
-    by_cell = celled.groupBy("_cell").agg(F.count(F.lit(1)).alias("_n"))
-    # Each fraction needs the values at two neighbouring ranks, counted from zero, and their weights.
-    targets = []
-    for f in fractions:
-        low, part = divmod(f * (total - 1), 1)
-        for rank, weight in ((low, 1 - part), (low + 1, part)):
-            targets.append(F.struct(*[F.lit(x).alias(n) for x, n in ((f, "f"), (int(rank), "k"), (weight, "weight"))]))
-    up_to = Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = by_cell.withColumn("_before", F.sum("_n").over(up_to) - F.col("_n"))
-    hits = placed.select("_cell", "_n", "_before", F.explode(F.array(*targets)).alias("_t")).filter(
-        (F.col("_t.k") >= F.col("_before")) & (F.col("_t.k") < F.col("_before") + F.col("_n"))
-    ).select("_cell", "_before", "_t.*")
-    # Two rows per fraction: small enough to send to every task.
-    counts = celled.join(F.broadcast(hits), "_cell").groupBy("_cell", "_before", "f", "k", "weight", "_v").agg(
-        F.count(F.lit(1)).alias("_m")
-    )
-    inside = Window.partitionBy("f", "k").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    found = counts.withColumn("_upto", F.col("_before") + F.sum("_m").over(inside)).filter(
-        (F.col("k") < F.col("_upto")) & (F.col("k") >= F.col("_upto") - F.col("_m"))
-    )
-    return found.groupBy(F.col("f").alias("fraction")).agg(F.sum(F.col("weight") * F.col("_v").cast("double")).alias("value"))
+    cells = max(2, cells)
+    number, back = ordinal(value, df.schema[value].dataType)
+    present = df.filter(F.col(value).isNotNull()).withColumn("_value", number)
+    counts = stage(present.groupBy(*keys, "_value").agg(F.count(F.lit(1)).alias("_n")), "value-counts")
+    least, most = counts.agg(F.min("_value"), F.max("_value")).first()
+    shift = 0
+    while least is not None and (most >> shift) - (least >> shift) >= cells:
+        shift += 1
+    one = counts.groupBy(*keys, F.shiftright("_value", shift).alias("_cell")).agg(F.sum("_n").alias("_n"))
+    placed = running_cells(one, keys).select(*keys, "_cell", "_n", "_upto", F.explode(F.array(*targets(F.col("_total")))).alias("_t"))
+    hits = _hit_cells(placed, F.col("_t.rank"), keys)
+    while shift:
+        above, shift = shift, max(0, shift - (cells.bit_length() - 1))
+        # At most a row for each group and target, stored so that plans do not grow from pass to pass.
+        hits = stage(hits, "cells-hit")
+        wanted = hits.groupBy(*keys, F.col("_cell").alias("_parent")).agg(F.array_sort(F.collect_list(F.struct("_left", "_t"))).alias("_wanted"))
+        opened = join_back(counts.withColumn("_parent", F.shiftright("_value", above)), wanted, [*keys, "_parent"])
+        finer = opened.groupBy(*keys, "_parent", "_wanted", F.shiftright("_value", shift).alias("_cell")).agg(F.sum("_n").alias("_n"))
+        placed = running_cells(finer, [*keys, "_parent"]).withColumn("_w", F.explode("_wanted"))
+        hits = _hit_cells(placed.select(*keys, "_cell", "_n", "_upto", "_w._left", "_w._t"), F.col("_left"), keys)
+    return hits.select(*keys, "_t.*", back.alias(value))
+
+
+def _hit_cells(placed: DataFrame, rank: Column, keys: Sequence[str]) -> DataFrame:
+    """The cell of every target and ``_left``, the target's rank inside it."""
+    before = F.col("_upto") - F.col("_n")
+    return placed.filter((rank > before) & (rank <= F.col("_upto"))).select(*keys, "_cell", (rank - before).alias("_left"), "_t")
+
+
+def order_statistics(df: DataFrame, value: str, fractions: Sequence[float], cells: int = 4096, keys: Sequence[str] = ()) -> DataFrame:
+    """Exact interpolated percentiles of a column of numbers, one row per group and fraction (AG24); see :func:`radix_select`."""
+
+    def neighbours(total: Column) -> list[Column]:
+        # Each fraction needs the values at two neighbouring ranks and their weights; the last value has no right neighbour.
+        out = []
+        for f in fractions:
+            place = F.lit(float(f)) * (total - 1)
+            low = F.floor(place)
+            for rank, weight in ((low + 1, 1 - (place - low)), (F.least(low + 2, total), place - low)):
+                out.append(F.struct(F.lit(float(f)).alias("fraction"), rank.cast("long").alias("rank"), weight.cast("double").alias("weight")))
+        return out
+
+    found = radix_select(df, keys, value, neighbours, cells)
+    return found.groupBy(*keys, "fraction").agg(F.sum(F.col("weight") * F.col(value).cast("double")).alias("value"))

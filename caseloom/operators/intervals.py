@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import int_avg, mean
+from .grouped import radix_select
 
 # Fixed value: the end date that stands for "still open".
 OPEN_END = "9999-12-31"
@@ -47,27 +48,23 @@ def average_stay(nodes: DataFrame) -> DataFrame:
 
 
 def nearest_rank(df: DataFrame, group: Sequence[str], value: str,
-                 fractions: Mapping[str, str] = PERCENTILES) -> DataFrame:
+                 fractions: Mapping[str, str] = PERCENTILES, cells: int = 4096) -> DataFrame:
     """Nearest-rank percentiles per group: the value at row ``round(n * p)`` of the sorted group, at least row 1 (AG14).
 
-    Works on value counts: the value at a rank is the first one whose cumulative count reaches it. The window sees one
-    row per distinct value, not per input row. Fractions are given as text so the rounding is done in decimals.
+    Fractions are given as text so the rounding is done in decimals. NULL values do not count. Works when called; see
+    :func:`~caseloom.operators.grouped.radix_select`.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
-    up_to = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*group).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    placed = counts.withColumns({"_upto": F.sum("_n").over(up_to), "_total": F.sum("_n").over(whole)})
-    targets = F.array(*[
-        F.struct(
-            F.lit(label).alias("label"),
-            F.greatest(F.round(F.col("_total") * F.lit(p).cast("decimal(4,3)"), 0).cast("long"), F.lit(1)).alias("rank"),
-        )
-        for label, p in fractions.items()
-    ])
-    reached = placed.withColumn("_t", F.explode(targets)).filter(
-        (F.col("_t.rank") <= F.col("_upto")) & (F.col("_t.rank") > F.col("_upto") - F.col("_n"))
-    )
-    return reached.select(*group, F.col("_t.label").alias("percentile"), F.col(value))
+
+    def ranks(total: Column) -> list[Column]:
+        return [
+            F.struct(
+                F.lit(label).alias("percentile"),
+                F.greatest(F.round(total * F.lit(p).cast("decimal(4,3)"), 0).cast("long"), F.lit(1)).alias("rank"),
+            )
+            for label, p in fractions.items()
+        ]
+
+    return radix_select(df, group, value, ranks, cells).drop("rank")
 
 
 def spread_over_days(seen: DataFrame, intervals: DataFrame, start: str, end: str) -> DataFrame:
