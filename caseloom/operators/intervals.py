@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from ..functions import int_avg, mean
-from .grouped import radix_select
+from .grouped import join_back, radix_select
 
 # Fixed value: the end date that stands for "still open".
 OPEN_END = "9999-12-31"
+# How much finer than an interval its nodes are: 2**DEPTH of them fit into it.
+DEPTH = 3
 PERCENTILES = {"median": "0.5", "80th percentile": "0.8", "95th percentile": "0.95"}
 
 
@@ -67,48 +69,73 @@ def nearest_rank(df: DataFrame, group: Sequence[str], value: str,
     return radix_select(df, group, value, ranks, cells).drop("rank")
 
 
-def spread_over_days(seen: DataFrame, intervals: DataFrame, start: str, end: str) -> DataFrame:
-    """One row per interval and day (``_iday``) it touches, cut to the range of days in the single column of ``seen``."""
-    day = F.col(seen.columns[0]).cast("date")
-    span = seen.agg(F.struct(F.min(day).alias("lo"), F.max(day).alias("hi")).alias("s")).scalar()
-    first = F.greatest(F.col(start).cast("date"), span["lo"])
-    # An interval without an end is open.
-    last = F.coalesce(F.least(F.col(end).cast("date"), span["hi"]), span["hi"])
-    cut = intervals.withColumns({"_first": first, "_last": last}).filter("_first <= _last")
-    return cut.withColumn("_iday", F.explode(F.sequence("_first", "_last"))).drop("_first", "_last")
+def _ticks(col: Column, kind: T.DataType) -> Column:
+    """Whole seconds in the order of the column's type: dates and local timestamps by their fields, others since the epoch."""
+    if isinstance(kind, T.TimestampType):
+        return F.unix_seconds(col)
+    seconds = F.lit(0) if isinstance(kind, T.DateType) else F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+    return F.unix_date(col.cast("date")).cast("long") * 86_400 + seconds
 
 
-def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, by: Sequence[str] = ()) -> DataFrame:
-    """Left join of timestamps to every interval that holds them, both ends included (JN6).
+def _moments(*kinds: T.DataType) -> T.DataType:
+    """The type in which dates and timestamps are compared."""
+    return next((k for wanted in (T.TimestampType, T.TimestampNTZType, T.DateType) for k in kinds if isinstance(k, wanted)), T.TimestampType())
+
+
+def interval_nodes(intervals: DataFrame, first: Column, last: Column, depth: int = DEPTH) -> DataFrame:
+    """Rows (``_level``, ``_node``) of the binary tree over time for each interval of seconds first..last; empty ones have none.
+
+    A node of level k holds 2**k seconds. An interval of 2**k to 2**(k+1) - 1 seconds is covered by nodes of level k - ``depth`` (0 at
+    least): at most 2**(depth + 1) + 1 of them whatever its length, which reach beyond it by two nodes at most.
+    """
+    length = F.length(F.conv((last - first + 1).cast("string"), 10, 2))
+    level = F.greatest(length - 1 - depth, F.lit(0))
+    placed = intervals.withColumns({"_first": first, "_last": last}).filter("_first <= _last").withColumn("_level", level)
+    at = lambda c: F.expr(f"shiftright({c}, _level)")
+    return placed.withColumn("_node", F.explode(F.sequence(at("_first"), at("_last")))).drop("_first", "_last")
+
+
+def intervals_at(moments: DataFrame, intervals: DataFrame, at: str, start: str, end: str, by: Sequence[str] = (), seen: DataFrame | None = None) -> DataFrame:
+    """Distinct (``by``, ``at``) of ``moments`` with every interval that holds them, both ends included; others are left out.
 
-    ``by`` names columns that must be equal as well; an interval without an end is open. An equi-join on these and the day
-    with the exact bounds rechecked: it can be broadcast, shuffled or split like any other join, whatever the number of
-    intervals.
+    Intervals go to a few nodes of a binary tree over time, a moment looks at its node on each level that is in use, and the exact
+    bounds are checked again. So an open interval is a few rows, as is one of a second, and moments of one day meet the intervals
+    of their own hours or seconds. ``seen`` may name a column that is cheaper to scan than ``moments`` and covers its range.
     """
-    keyed = [F.col(c).alias(f"_by_{c}") for c in by]
-    per_day = spread_over_days(points.select(at), intervals, start, end)
-    per_day = per_day.select(*keyed, *(c for c in per_day.columns if c not in by))
-    on = (F.col("_day") == F.col("_iday")) & (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) <= F.col(end)))
+    kind = _moments(moments.schema[at].dataType, intervals.schema[start].dataType, intervals.schema[end].dataType)
+    tick = lambda c: _ticks(F.col(c).cast(kind), kind)
+    distinct = moments.filter(F.col(at).isNotNull()).select(*by, at).distinct()
+    scanned = moments.select(at) if seen is None else seen
+    bound = _ticks(F.col(scanned.columns[0]).cast(kind), kind)
+    span = scanned.agg(F.struct(F.min(bound).alias("lo"), F.max(bound).alias("hi")).alias("s")).scalar()
+    # Cut to the range of moments; an interval without an end is open.
+    nodes = interval_nodes(
+        intervals, F.greatest(tick(start), span["lo"]), F.coalesce(F.least(tick(end), span["hi"]), span["hi"])
+    ).select(*(F.col(c).alias(f"_by_{c}") for c in by), *(c for c in intervals.columns if c not in by), "_level", "_node")
+    levels = nodes.agg(F.array_sort(F.collect_set("_level")).alias("l")).scalar()
+    probes = distinct.withColumn("_levels", levels).withColumn("_probe", F.explode("_levels")).withColumn("_tick", tick(at))
+    probes = probes.withColumn("_at_node", F.expr("shiftright(_tick, _probe)"))
+    on = (F.col("_probe") == F.col("_level")) & (F.col("_at_node") == F.col("_node"))
     for c in by:
         on = on & (F.col(c) == F.col(f"_by_{c}"))
-    return points.withColumn("_day", F.col(at).cast("date")).join(per_day, on, "left").drop("_day", "_iday", *(f"_by_{c}" for c in by))
+    inside = (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) <= F.col(end)))
+    return probes.join(nodes, on & inside).drop("_levels", "_probe", "_tick", "_at_node", "_level", "_node", *(f"_by_{c}" for c in by))
+
+
+def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, by: Sequence[str] = ()) -> DataFrame:
+    """Left join of timestamps or dates to every interval that holds them, both ends included (JN6).
+
+    ``by`` names columns that must be equal as well (NULL meets nothing); an interval without an end is open. Matches are found
+    once for each distinct moment (see :func:`intervals_at`) and joined back, so a moment that very many points share is looked up once.
+    """
+    return join_back(points, intervals_at(points, intervals, at, start, end, by), [*by, at], "left")
 
 
 def first_interval(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, name: str,
                    seen: DataFrame | None = None) -> DataFrame:
-    """Every point once, with the name of the earliest-starting interval that holds it or NULL.
-
-    ``seen`` may name a column that is cheaper to scan than ``points`` and covers the days of ``at``.
+    """Every point once, with the name of the earliest-starting interval that holds it (of equals the smallest name) or NULL.
 
-    Among the intervals of a day, one is the earliest at a moment only after all that started before it have ended. So
-    each keeps the part after their latest end, the parts do not overlap, and the join adds no rows.
+    ``seen`` may name a column that is cheaper to scan than ``points`` and covers the range of ``at``.
     """
-    started_before = Window.partitionBy("_iday").orderBy(start, name).rowsBetween(Window.unboundedPreceding, -1)
-    intervals = intervals.withColumn(end, F.coalesce(F.col(end), F.lit(OPEN_END).cast(intervals.schema[end].dataType)))
-    parts = spread_over_days(points.select(at) if seen is None else seen, intervals.select(name, start, end), start, end).select(
-        "_iday", F.col(start).alias("_from"), F.col(end).alias("_to"), F.max(end).over(started_before).alias("_busy"), name
-    )
-    moment = F.col(at)
-    inside = moment.between(F.col("_from"), F.col("_to")) & (F.col("_busy").isNull() | (moment > F.col("_busy")))
-    joined = points.withColumn("_day", moment.cast("date")).join(parts, (F.col("_day") == F.col("_iday")) & inside, "left")
-    return joined.drop("_day", "_iday", "_from", "_to", "_busy")
+    found = intervals_at(points, intervals.select(name, start, end), at, start, end, seen=seen)
+    return join_back(points, found.groupBy(at).agg(F.min(F.struct(start, name)).alias("_first")).select(at, F.col(f"_first.{name}").alias(name)), [at], "left")

@@ -1,5 +1,6 @@
 """Stays, nearest-rank percentiles and interval joins."""
 
+import datetime as dt
 import random
 from decimal import ROUND_HALF_UP, Decimal
 
@@ -68,3 +69,42 @@ def test_open_ends_and_keys(spark):
     assert rows(keyed, "customer_id", "at", "name") == [(1, t("2019-12-31 00:00"), None), (1, t("2020-01-05 10:00"), "a"), (2, t("2020-01-05 10:00"), None)]
     first = op.first_interval(points, spans.drop("customer_id"), "at", "lo", "hi", "name")
     assert rows(first, "customer_id", "name") == [(1, "a"), (1, None), (2, "a")]
+
+
+def test_any_length_against_brute_force(spark):
+    """Intervals of a second to centuries, open and empty ones, points that share a second, NULL keys and moments."""
+    rng = random.Random(11)
+    base = dt.datetime(2020, 1, 1)
+    moment = lambda: base + dt.timedelta(seconds=rng.choice([rng.randrange(100), rng.randrange(10**5), rng.randrange(10**8)]))
+    points = [(k, rng.choice([1, 1, 2, None]), rng.choice([moment(), base + dt.timedelta(seconds=50), None])) for k in range(150)]
+    spans = []
+    for k in range(80):
+        lo = rng.choice([moment(), base - dt.timedelta(days=200 * 365), base - dt.timedelta(seconds=rng.randrange(50))])
+        hi = rng.choice([lo, lo + dt.timedelta(seconds=rng.randrange(200)), lo + dt.timedelta(days=rng.randrange(40_000)), lo - dt.timedelta(seconds=1), None, None])
+        spans.append((rng.choice([1, 1, 2, None]), k, lo, hi))
+    p = spark.createDataFrame(points, "id int, g int, at timestamp_ntz").repartition(3)
+    s = spark.createDataFrame(spans, "g int, name int, lo timestamp_ntz, hi timestamp_ntz")
+    for by in ([], ["g"]):
+        expected = []
+        for i, g, at in points:
+            held = [n for h, n, lo, hi in spans if at and (not by or (g is not None and g == h)) and lo <= at and (hi is None or at <= hi)]
+            expected += [(i, n) for n in held or [None]]
+        found = op.interval_join(p, s if by else s.drop("g"), "at", "lo", "hi", by=by)
+        assert rows(found, "id", "name") == sorted(expected, key=repr)
+    first = {i: min(((lo, n) for _, n, lo, hi in spans if at and lo <= at and (hi is None or at <= hi)), default=(None, None))[1] for i, _, at in points}
+    assert rows(op.first_interval(p, s.drop("g"), "at", "lo", "hi", "name"), "id", "name") == sorted(first.items(), key=repr)
+
+
+def test_nodes_per_interval_are_few(spark):
+    ends = [(k, a, a + 2**k + d) for k in range(36) for a in (0, 1, 12345, -7) for d in (-1, 0, 1)]
+    frame = spark.createDataFrame(ends, "k int, a long, b long")
+    nodes = op.interval_nodes(frame, F.col("a"), F.col("b"))
+    counts = nodes.groupBy("k", "a", "b").agg(F.count("*").alias("n"), F.count_distinct("_level").alias("levels"), F.max("_level").alias("l"))
+    worst = counts.agg(F.max("n"), F.max("levels"), F.count("*"), F.max(F.expr("l - k"))).first()
+    assert worst[0] <= 2 ** (op.DEPTH + 1) + 1 and worst[1] == 1 and worst[2] == len(set(ends)) and worst[3] <= 1 - op.DEPTH + 3
+
+
+def test_dates_and_timestamps_meet(spark):
+    points = spark.createDataFrame([(1, dt.date(2020, 1, 5)), (2, dt.date(2020, 1, 6))], "id int, at date")
+    spans = spark.createDataFrame([("a", t("2020-01-05 00:00"), t("2020-01-05 23:59")), ("b", t("2020-01-05 00:01"), t("2020-01-06 00:00"))], "name string, lo timestamp, hi timestamp")
+    assert rows(op.interval_join(points, spans, "at", "lo", "hi"), "id", "name") == [(1, "a"), (2, "b")]
