@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame, functions as F
 from . import blocks as B
 
 SIZE_BITS = 18
+# A block's arrays take some 200 bytes for each byte of its text.
+BLOCK_BYTES = 1 << 18
 GRADES = 3
 MOST_RATINGS = 16_384
 EPOCHS = 40
@@ -130,7 +132,7 @@ def train(docs: DataFrame, ratings: DataFrame, most: int = MOST_RATINGS, epochs:
     def extract(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         rows = []
         grades, ids = np.asarray(batch.column(2)), batch.column(0).to_pylist()
-        for first, data, offsets in B.blocks(batch.column(1)):
+        for first, data, offsets in B.blocks(batch.column(1), BLOCK_BYTES):
             who, what = features(data, offsets)
             cuts = np.searchsorted(who, np.arange(len(offsets)))
             rows += [(ids[first + k], int(grades[first + k]), what[cuts[k] : cuts[k + 1]].astype(np.uint32)) for k in range(len(offsets) - 1)]
@@ -139,7 +141,7 @@ def train(docs: DataFrame, ratings: DataFrame, most: int = MOST_RATINGS, epochs:
     def solve(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("grade", "ascending")])
         sizes = np.asarray(B.lengths(table["features"], 4))
-        weights, cuts = fit(np.repeat(np.arange(len(sizes)), sizes), B.unpacked(table["features"], "u4").astype(np.int64), np.asarray(table["grade"]).astype(np.int64), epochs=epochs)
+        weights, cuts = fit(np.repeat(np.arange(len(sizes), dtype=np.int32), sizes), B.unpacked(table["features"], "u4").astype(np.int32), np.asarray(table["grade"]).astype(np.int64), epochs=epochs)
         return pa.Table.from_batches([B.packed([(weights, cuts)], pa.schema([("weights", pa.binary()), ("cuts", pa.binary())]))])
 
     sample = rated_sample(docs, ratings, most).select("doc_id", "text", "grade")
@@ -160,9 +162,10 @@ def classified(docs: DataFrame, ratings: DataFrame, least_tail: float = LEAST_TA
 
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         scores = []
-        for _, data, offsets in B.blocks(batch.column(at)):
+        for _, data, offsets in B.blocks(batch.column(at), BLOCK_BYTES):
             who, what = features(data, offsets)
             scores.append(np.bincount(who, model.value[what], len(offsets) - 1))
+        pa.default_memory_pool().release_unused()
         margin = np.concatenate(scores)[:, None] - cuts[None, :]
         above = 1 / (1 + np.exp(-np.clip(margin, -30, 30)))  # probability of a grade above each threshold
         tail = above[:, -1]
