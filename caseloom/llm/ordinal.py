@@ -117,13 +117,13 @@ def fit(rows: np.ndarray, columns: np.ndarray, grades: np.ndarray, bits: int = S
 
 
 def rated_sample(docs: DataFrame, ratings: DataFrame, most: int = MOST_RATINGS) -> DataFrame:
-    """doc_id, text and grade of at most ``most`` ratings."""
+    """doc_id, text and grade of at most ``most`` ratings; of several texts under one id the one with the smallest hash."""
     toxic, quality = F.col("toxic").cast("int"), F.col("quality").cast("int")
     grade = F.when(toxic != 0, 0).when(quality == 0, 1).when(quality.isNotNull(), GRADES - 1)
     graded = ratings.select(F.col("doc_id").cast("bigint").alias("doc_id"), grade.alias("grade")).where("doc_id IS NOT NULL AND grade IS NOT NULL")
     graded = graded.orderBy(F.xxhash64("doc_id", F.lit(11)), "grade").limit(most)  # its size is bounded by ``most``
     base = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    return base.join(F.broadcast(graded), "doc_id")
+    return base.join(F.broadcast(graded), "doc_id").groupBy("doc_id", "grade").agg(F.min_by("text", F.struct(F.xxhash64("text"), F.octet_length("text"))).alias("text"))
 
 
 def train(docs: DataFrame, ratings: DataFrame, most: int = MOST_RATINGS, epochs: int = EPOCHS) -> tuple[np.ndarray, np.ndarray]:
