@@ -1,11 +1,11 @@
 """Mixing sources to target weights by hash-random keys, distributed prefix sums and a cut at each source's exact budget.
 
-Every document gets a key that looks random but depends on its id only, so a rerun takes the same documents. Keys are cut into
+Every document gets a key that looks random but depends on its id and text only, so a rerun takes the same documents. Keys are cut into
 ranges; the sums of the ranges are added up per source, and only the range that holds the cut is sorted. Nothing but one row per
 range and per source is ever brought together, and texts are not moved.
 
 Defined results: a null text has size 0; rows of a null source form a source of their own, the last one; documents with the same
-id share a key and share what the cut leaves for it in proportion to their sizes, rounded down; an empty table gives an empty mix;
+id and text share a key and share what the cut leaves for it in proportion to their sizes, rounded down; an empty table gives an empty mix;
 when every source stops at its limit the mix is smaller than asked. A null id has a key like any other.
 """
 
@@ -22,8 +22,9 @@ RANGE_DIGITS = 3
 
 
 def key_of(doc_id: str = "doc_id"):
-    """The random key of a document: 32 hexadecimal digits."""
-    return F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(doc_id).cast("string"), F.lit(""))).cast("binary"))
+    """The random key of a document, by its id and text: 32 hexadecimal digits."""
+    text = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")).cast("binary"))
+    return F.md5(F.concat(F.lit("mix:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), text).cast("binary"))
 
 
 def sized(docs: DataFrame) -> DataFrame:
@@ -134,7 +135,7 @@ def op6_mixing(docs: DataFrame) -> DataFrame:
 
 ORACLE = r"""
 WITH d AS (SELECT CAST(doc_id AS BIGINT) AS doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
-                  md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k FROM documents),
+                  md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS k FROM documents),
 s AS (SELECT source, CAST(sum(size) AS DOUBLE) AS n, row_number() OVER (ORDER BY source IS NULL, CAST(source AS BLOB)) - 1 AS turn FROM d GROUP BY source),
 w AS (SELECT *, CASE turn % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight, sum(n) OVER () AS total FROM s),
 levels AS (SELECT w.*, coalesce((SELECT max(least(3 * o.n / o.weight, 1e300)) FROM w o
