@@ -13,7 +13,8 @@ The share of lists to probe is set for vectors without clusters, as in the test
 lists (recall 0.72 to 0.82 at a share of 0.3, 0.84 to 0.94 at 0.5, 0.97 and more at 0.75). Clustered vectors need far fewer.
 
 Defined results: vectors that are null, zero, or hold null or non-finite components take no part, neither do those whose
-dimension is not the most frequent one (the larger of equals); rows with the query's id are no candidates for it; a null id takes no
+dimension is not the most frequent one (the larger of equals); of several vectors under one id the smallest counts (so
+repeated rows count once), as query and as candidate; a null id takes no
 part; ties go to the smaller id; queries with fewer than ``k`` candidates return all that were found in lists holding at least
 MOST_FEW vectors, or in all lists.
 """
@@ -46,6 +47,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     largest = F.lit(float("inf"))
     sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < largest)) & F.exists("embedding", lambda x: x != 0)
     base = base.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & sound)
+    base = base.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     sizes = base.groupBy(F.size("embedding").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     return base.where(F.size("embedding") == F.lit(sizes["d"] if sizes else 0))
 
@@ -116,7 +118,7 @@ def query_blocks_of(ids: np.ndarray, blocks: int) -> np.ndarray:
 def search(vectors: DataFrame, is_query: Column, k: int = 10, probed_share: float = PROBED_SHARE) -> DataFrame:
     """query_id, rank (from 1), vec_id and score (Euclidean distance) of the ``k`` nearest rows found for each query."""
     spark = vectors.sparkSession
-    base = usable(vectors)
+    base = stage(usable(vectors), "vectors")
     sample = base.orderBy(F.xxhash64("vec_id", F.lit(17)), "vec_id").limit(SAMPLE_ROWS).toArrow()
     kind = "query_id long, rank int, vec_id long, score double"
     if not sample.num_rows:

@@ -11,7 +11,7 @@ import pytest
 from check_oracles import compare
 from tokenizers import Tokenizer
 
-from caseloom.llm import filteraudit, wordbpe, zonemine
+from caseloom.llm import adscan, filteraudit, mixing, ordinal, wordbpe, zonemine
 
 from .conftest import ODD
 
@@ -167,3 +167,27 @@ def test_words_are_forgotten(spark, monkeypatch):
         whole = [x for word in text.split(" ") for x in fresh.merged(word.encode())]
         assert array("I", b"".join(x for x, _ in model.encode(text))).tolist() == whole
     assert len(model.known) <= 3 and len(model.older) <= 3
+
+
+def test_mixing_of_documents_without_ids(spark):
+    """A source whose documents share one id is mixed like any other."""
+    docs = [(k, " ".join(["w"] * 20), "a") for k in range(100)] + [(None, f"word{k}", "b") for k in range(1000)]
+    found = mixing.op6_mixing(spark.createDataFrame(docs, "doc_id long, text string, source string")).where("doc_id IS NULL")
+    row = found.selectExpr("max(target) AS target", "sum(taken) AS taken", "max(taken - 3 * size) AS over").first()
+    assert abs(row["target"] - row["taken"]) <= 1 and row["over"] <= 0
+
+
+def test_repeated_vectors(spark):
+    rnd = np.random.default_rng(2)
+    rows = [(k, rnd.normal(size=4).tolist()) for k in range(71, 100)]
+    rows += [(100, rnd.normal(size=4).tolist())] * 2 + rows[:5]
+    found = [r["vec_id"] for r in adscan.op3_adscan(spark.createDataFrame(rows, "vec_id long, embedding array<float>")).where("query_id = 100").orderBy("rank").collect()]
+    query = rows[29][1]
+    best = sorted((sum((x - y) ** 2 for x, y in zip(v, query)), k) for k, v in dict(rows[:29]).items())
+    assert found == [k for _, k in best[:10]]
+
+
+def test_one_text_for_a_rated_id(spark):
+    docs = spark.createDataFrame([(1, f"text {k}") for k in range(500)] + [(2, "other")], "doc_id long, text string")
+    ratings = spark.createDataFrame([(1, 1, 0), (2, 0, 0)], "doc_id long, quality int, toxic int")
+    assert sorted(r["doc_id"] for r in ordinal.rated_sample(docs, ratings, 2).collect()) == [1, 2]
