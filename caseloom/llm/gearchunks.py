@@ -100,9 +100,9 @@ def repeated_chunks(base: DataFrame, buckets: int, parts: int) -> DataFrame:
     def repeats(table: pa.Table) -> pa.Table:
         bare = np.asarray(B.lengths(table["digests"], 8)) == 0
         known, open_ = table.filter(pa.array(bare)), table.filter(pa.array(~bare))
-        out = S.by_part(parts, *(B.unpacked(known[c], t) for c, t in (("ids", "i8"), ("tags", "u4"), ("starts", "u4"), ("ends", "u4")))) if known.num_rows else []
+        out = S.by_part(parts, *(B.unpacked(known[c], t) for c, t in (("ids", "i8"), ("tags", "u8"), ("starts", "u4"), ("ends", "u4")))) if known.num_rows else []
         if open_.num_rows:
-            digests, doc, tag, start, end = (B.unpacked(open_[c], t) for c, t in (("digests", "u8"), ("ids", "i8"), ("tags", "u4"), ("starts", "u4"), ("ends", "u4")))
+            digests, doc, tag, start, end = (B.unpacked(open_[c], t) for c, t in (("digests", "u8"), ("ids", "i8"), ("tags", "u8"), ("starts", "u4"), ("ends", "u4")))
             order = np.lexsort((start, tag, doc, digests))
             digests, doc, tag, start, end = (x[order] for x in (digests, doc, tag, start, end))
             again = ~first_of(digests, doc, tag, start)

@@ -67,7 +67,7 @@ def _extent(at: np.ndarray, low: np.ndarray, high: np.ndarray, string: int, widt
 
 def found_triggers(base: DataFrame, buckets: int, parts: int, string: int, width: int) -> DataFrame:
     """Spans that are repeats as a whole, and places whose windows must be compared (``kind`` 0 and 1; 2: with many contexts)."""
-    fields = (("triggers", "u8"), ("contexts", "u8"), ("ids", "i8"), ("tags", "u4"), ("ats", "u4"), ("starts", "u4"), ("ends", "u4"))
+    fields = (("triggers", "u8"), ("contexts", "u8"), ("ids", "i8"), ("tags", "u8"), ("ats", "u4"), ("starts", "u4"), ("ends", "u4"))
     sent = pa.schema([("bucket", pa.int64()), *((n, pa.binary()) for n, _ in fields)])
     kept = pa.schema([("kind", pa.int32()), *list(S.SCHEMA)[:3], ("ats", pa.binary()), *list(S.SCHEMA)[3:], ("triggers", pa.binary())])
 
@@ -119,7 +119,7 @@ def found_triggers(base: DataFrame, buckets: int, parts: int, string: int, width
             rows.extend((kind, *x) for x in B.parted(S.parts_of(doc, tag, parts), doc, tag, at, low, high, trigger))
 
         if known.num_rows:
-            doc, tag, low, high = (B.unpacked(known[c], t) for c, t in (("ids", "i8"), ("tags", "u4"), ("starts", "u4"), ("ends", "u4")))
+            doc, tag, low, high = (B.unpacked(known[c], t) for c, t in (("ids", "i8"), ("tags", "u8"), ("starts", "u4"), ("ends", "u4")))
             whole(doc, tag, low, high)
         if open_.num_rows:
             arrays, first = first_places([B.unpacked(open_[c], t) for c, t in fields])
@@ -157,7 +157,7 @@ def compared_windows(documents: DataFrame, asked: DataFrame, buckets: int, parts
                 some = right.filter(pa.array(kinds == kind))
                 if not some.num_rows:
                     continue
-                trigger, doc, tag, at, low, high = (B.unpacked(some[c], t) for c, t in (("triggers", "u8"), ("ids", "i8"), ("tags", "u4"), ("ats", "u4"), ("starts", "u4"), ("ends", "u4")))
+                trigger, doc, tag, at, low, high = (B.unpacked(some[c], t) for c, t in (("triggers", "u8"), ("ids", "i8"), ("tags", "u8"), ("ats", "u4"), ("starts", "u4"), ("ends", "u4")))
                 base_at = np.array([part.offsets[part.rows[key][0]] for key in zip(doc.tolist(), tag.tolist(), strict=True)], np.int64)
                 if kind == 1:
                     sizes = (high - low).astype(np.int64)
@@ -181,9 +181,9 @@ def compared_windows(documents: DataFrame, asked: DataFrame, buckets: int, parts
         found = []
         lone, many = table.filter(pa.array(single)), table.filter(pa.array(~single))
         if lone.num_rows:
-            found.append(tuple(B.unpacked(lone[c], t) for c, t in (("triggers", "u8"), ("ids", "i8"), ("tags", "u4"), ("starts", "u4"))))
+            found.append(tuple(B.unpacked(lone[c], t) for c, t in (("triggers", "u8"), ("ids", "i8"), ("tags", "u8"), ("starts", "u4"))))
         if many.num_rows:
-            trigger, doc, tag, low, sizes, data = (B.unpacked(many[c], t) for c, t in (("triggers", "u8"), ("ids", "i8"), ("tags", "u4"), ("starts", "u4"), ("sizes", "u4"), ("data", "u1")))
+            trigger, doc, tag, low, sizes, data = (B.unpacked(many[c], t) for c, t in (("triggers", "u8"), ("ids", "i8"), ("tags", "u8"), ("starts", "u4"), ("sizes", "u4"), ("data", "u1")))
             sizes = sizes.astype(np.int64)
             begin = np.cumsum(sizes) - sizes
             first = 0

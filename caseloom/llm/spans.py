@@ -1,6 +1,6 @@
 """Spans of bytes found by other tasks are brought back to their documents and cut out.
 
-A document is known by its id and a 32-bit tag of its text; rows that agree in both are one document. Order among documents is that
+A document is known by its id and a 63-bit tag of its text; rows that agree in both are one document. Order among documents is that
 of (id, tag), null ids first. Documents are dealt to parts of a few megabytes by a hash of that pair; spans travel as packed arrays.
 """
 
@@ -23,12 +23,12 @@ SCHEMA = pa.schema([("part", pa.int64()), ("ids", pa.binary()), ("tags", pa.bina
 
 
 def tags_of(sums: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """The tag of each text of a block, from the block's prefix sums."""
-    return (B.span_hashes(sums, offsets[:-1], offsets[1:]) >> np.uint64(32)).astype(np.uint32)
+    """The tag of each text of a block, from the block's prefix sums; 63 bits, so that it keeps its order as a signed long."""
+    return B.span_hashes(sums, offsets[:-1], offsets[1:]) >> np.uint64(1)
 
 
 def parts_of(ids: np.ndarray, tags: np.ndarray, parts: int) -> np.ndarray:
-    return (B.mix(ids.view(np.uint64) ^ tags.astype(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    return (B.mix(ids.view(np.uint64) ^ tags) % np.uint64(parts)).astype(np.int64)
 
 
 def by_part(parts: int, ids: np.ndarray, tags: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[tuple]:
@@ -85,7 +85,7 @@ class Part:
     def covered(self, spans: pa.Table) -> np.ndarray:
         """A flag for each byte that a span covers."""
         cover = np.zeros(len(self.data) + 1, np.int32)
-        ids, tags = B.unpacked(spans["ids"], "i8"), B.unpacked(spans["tags"], "u4")
+        ids, tags = B.unpacked(spans["ids"], "i8"), B.unpacked(spans["tags"], "u8")
         starts, ends = B.unpacked(spans["starts"], "u4").astype(np.int64), B.unpacked(spans["ends"], "u4").astype(np.int64)
         if len(ids):
             order = np.lexsort((tags, ids))

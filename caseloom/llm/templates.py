@@ -218,7 +218,7 @@ def dropped_spans(documents: DataFrame, parts: int, least: int = LEAST, least_co
 
     def pack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         ids, tags, starts, ends = (np.asarray(c) for c in batch.columns)
-        yield B.packed(S.by_part(parts, ids, tags.astype(np.uint32), starts, ends), S.SCHEMA)
+        yield B.packed(S.by_part(parts, ids, tags.astype(np.uint64), starts, ends), S.SCHEMA)
 
     return B.per_batch(drops, pack, S.KIND)
 

@@ -1,8 +1,11 @@
 """Every operator on odd rows and on an empty table: nothing crashes, no row is lost, results are as stated."""
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from caseloom.llm import adscan, bagminhash, bpe, gearchunks, imatch, mixing, ordinal, ppm, prefixfree, templates
+from caseloom.llm import adscan, bagminhash, bpe, gearchunks, imatch, mixing, ordinal, ppm, prefixfree, spans, templates
+from caseloom.llm import blocks as B
 
 from .conftest import ODD, words
 
@@ -65,3 +68,9 @@ def test_vectors(spark):
     assert found == [(0, 1, 100), (0, 2, 7), (0, 3, 8), (0, 4, 9), (100, 1, 0), (100, 2, 7), (100, 3, 8), (100, 4, 9)]
     assert adscan.op3_adscan(frame.limit(0)).count() == 0
     assert adscan.op3_adscan(spark.createDataFrame(bad, frame.schema)).count() == 0
+
+
+def test_many_texts_under_one_id_have_different_tags():
+    texts = pa.array([b"text %d" % k for k in range(200_000)], pa.large_binary())
+    tags = np.concatenate([spans.tags_of(B.prefix_sums(data), offsets) for _, data, offsets in B.blocks(texts)])
+    assert len(np.unique(tags)) == len(texts) and tags.max() < 1 << 63
