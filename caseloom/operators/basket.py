@@ -100,49 +100,68 @@ def penetration(lines: DataFrame) -> DataFrame:
     return per_product.withColumn("penetration", percent(F.col("transactions"), whole, 4))
 
 
-def _triples(fans: DataFrame) -> DataFrame:
-    """Triples of rows that hold a product and a sorted array of later ones."""
-    second = fans.select("a", "_rest", F.posexplode("_rest").alias("_p", "b"))
-    return second.select("a", "b", F.explode(F.slice("_rest", F.col("_p") + 2, F.size("_rest"))).alias("c"))
+def _baskets(items: DataFrame, support: DataFrame) -> DataFrame:
+    """One row per transaction of three products or more: its products, those in fewer transactions first."""
+    sets = items.join(support, "_i").groupBy("_t").agg(F.array_sort(F.collect_list(F.struct("_s", "_i"))).alias("_items"))
+    return sets.filter(F.size("_items") >= 3)
+
 
+def conditional_baskets(baskets: DataFrame, block: int = 1 << 16) -> DataFrame:
+    """The conditional database of every product: for each of its transactions the products after it, if two or more.
 
-def _pairs(items: DataFrame) -> DataFrame:
-    """Every two products of a transaction once, the smaller first."""
-    sets = items.groupBy("_t").agg(F.array_sort(F.collect_list("_i")).alias("_items"))
-    first = sets.select("_t", "_items", F.posexplode("_items").alias("_p", "a"))
-    return first.select("_t", "a", F.explode(F.slice("_items", F.col("_p") + 2, F.size("_items"))).alias("b"))
+    A transaction of n products gives n - 2 rows. A product in more than ``block`` transactions is dealt to several salts.
+    """
+    each = baskets.select("_t", "_items", F.posexplode("_items").alias("_p", "_x")).filter(F.col("_p") + 2 < F.size("_items"))
+    salts = F.floor(F.col("_x._s") / block) + 1
+    return each.select(
+        F.col("_x._i").alias("a"), salts.alias("_salts"), F.pmod(F.xxhash64("_t"), salts).alias("_salt"),
+        F.transform(F.slice("_items", F.col("_p") + 2, F.size("_items")), lambda x: x["_i"]).alias("_rest"),
+    )
 
 
-def _counted_triples(pairs: DataFrame, strong: DataFrame | None) -> DataFrame:
-    """Counts of the triples whose three pairs are all strong."""
-    kept = pairs if strong is None else pairs.join(strong, ["a", "b"], "left_semi")
-    triples = _triples(kept.groupBy("_t", "a").agg(F.array_sort(F.collect_list("b")).alias("_rest")))
+def _strong_pairs(conditional: DataFrame, least: int) -> DataFrame:
+    """Pairs in ``least`` transactions or more, counted product by product so that arrays are shuffled, not pairs."""
+    dealt = conditional.repartition("a", "_salt").select("a", "_salt", "_salts", F.explode("_rest").alias("b"))
+    counted = dealt.groupBy("a", "_salt", "_salts", "b").agg(F.count(F.lit(1)).alias("_n"))
+    # The count of a product with one salt is final, so its weak pairs end here.
+    kept = counted.filter((F.col("_n") >= least) | (F.col("_salts") > 1))
+    return kept.groupBy("a", "b").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= least).select("a", "b")
+
+
+def _counted_triples(conditional: DataFrame, strong: DataFrame | None = None) -> DataFrame:
+    """Counts of the triples of each conditional database, which is first narrowed to the strong partners of its product."""
+    rest = F.col("_rest")
     if strong is not None:
-        triples = triples.join(strong.select(F.col("a").alias("b"), F.col("b").alias("c")), ["b", "c"], "left_semi")
+        conditional = conditional.join(strong.groupBy("a").agg(F.collect_list("b").alias("_with")), "a")
+        rest = F.array_intersect("_rest", "_with")
+    fans = conditional.select("a", F.array_sort(rest).alias("_rest")).filter(F.size("_rest") >= 2)
+    second = fans.select("a", "_rest", F.posexplode("_rest").alias("_p", "b"))
+    triples = second.select("a", "b", F.explode(F.slice("_rest", F.col("_p") + 2, F.size("_rest"))).alias("c"))
     return triples.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"))
 
 
 def basket_triples(lines: DataFrame, seed_items: int = 40) -> DataFrame:
     """The most frequent combinations of three products in one transaction, all ties (JN16).
 
-    Exact, level by level, for baskets of any size. Counting only the ``seed_items`` most frequent products gives a triple
-    count that is really reached. Products in fewer transactions cannot be part of a better triple, nor can pairs in
-    fewer transactions; what is left is combined to triples of which all three pairs remain.
+    Exact, by prefix projection, for baskets of any size. Counting only the ``seed_items`` most frequent products gives a triple
+    count that is really reached; rarer products cannot be part of a better triple. Each remaining product has a conditional
+    database: its transactions, cut to the more frequent products. Partners are counted in it, those in too few transactions
+    leave it, and what is left is combined to triples. Only if no triple occurs twice are all triples of all baskets made, as
+    then they are the result. Works when called.
     """
     bought = lines.filter(F.col("quantity") >= 1).select(F.col("txn_id").alias("_t"), F.col("product_id").alias("_i"))
     items = stage(bought.distinct(), "basket-items")
     support = items.groupBy("_i").agg(F.count(F.lit(1)).alias("_s"))
-    seed = support.orderBy(F.desc("_s"), "_i").limit(seed_items).select("_i")
-    seeded = _counted_triples(_pairs(items.join(F.broadcast(seed), "_i")), None)
-    reached = seeded.agg(F.coalesce(F.max("n"), F.lit(1))).first()[0]
-    kept = items if reached <= 1 else items.join(support.filter(F.col("_s") >= reached).select("_i"), "_i", "left_semi")
-    pairs = stage(_pairs(kept), "basket-pairs")
-    strong = None
-    if reached > 1:
-        strong = stage(pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") >= reached).select("a", "b"), "basket-strong")
-    totals = _counted_triples(pairs, strong)
-    most = totals.agg(F.max("n")).scalar()
+    seed = F.broadcast(support.orderBy(F.desc("_s"), "_i").limit(seed_items))
+    seeded = _counted_triples(conditional_baskets(_baskets(items, seed)))
+    least = max(seeded.agg(F.max("n")).first()[0] or 0, 2)
+    conditional = conditional_baskets(stage(_baskets(items, support.filter(F.col("_s") >= least)), "baskets"))
+    strong = stage(_strong_pairs(conditional, least), "basket-strong")
+    totals = stage(_counted_triples(conditional, strong).filter(F.col("n") >= least), "basket-counts")
+    most = totals.agg(F.max("n")).first()[0]
+    if most is None:
+        totals, most = _counted_triples(conditional_baskets(_baskets(items, support))), 1
+    triple = F.array_sort(F.array("a", "b", "c"))
     return totals.filter(F.col("n") == most).select(
-        F.col("a").alias("product_1"), F.col("b").alias("product_2"), F.col("c").alias("product_3"),
-        F.col("n").alias("transactions"),
+        *(triple[i].alias(f"product_{i + 1}") for i in range(3)), F.col("n").alias("transactions")
     )

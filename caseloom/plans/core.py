@@ -8,7 +8,7 @@ from ..functions import has_text, month_of, money_text, weekday_name
 from ..operators import clean
 from ..operators.grouped import not_in
 from ..sources.readers import json_field, json_fields
-from ..sources.sinks import append_result, append_rows, new_folder, replace_result, save_result, stage
+from ..sources.sinks import append_batch, append_rows, new_folder, replace_table, stage
 from ..sources.views import Views
 from .sqlviews import ORDER_TIME, with_views
 
@@ -40,19 +40,21 @@ def append_twice(v: Views):
 
 
 def replaced_result(v: Views):
-    """A result table written twice to the same place, the second time over the first (SNK2)."""
-    path = new_folder(v.spark, "replaced")
+    """A result table replaced by a second result; the catalog points to the new files when they are complete (SNK2)."""
+    folder = new_folder(v.spark, "replaced")
     counts = v.t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
-    save_result(counts, path)
-    return replace_result(counts.where("o_orderstatus <> 'P'"), path)
+    replace_table(counts, "orders_by_status", folder)
+    return replace_table(counts.where("o_orderstatus <> 'P'"), "orders_by_status", folder)
 
 
 def appended_result(v: Views):
-    """A result table written by one status after the other (SNK3)."""
+    """A result table written batch by batch, the last one twice (SNK3)."""
     path = new_folder(v.spark, "appended")
     counts = v.t.orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"))
-    save_result(counts.where("o_orderstatus <> 'P'"), path)
-    return append_result(counts.where("o_orderstatus = 'P'"), path)
+    append_batch(counts.where("o_orderstatus <> 'P'"), path, "settled")
+    for _ in range(2):
+        table = append_batch(counts.where("o_orderstatus = 'P'"), path, "pending")
+    return table.drop("batch")
 
 
 def clean_sentinel(v: Views):

@@ -80,9 +80,10 @@ VIEWS = {
         FROM events""",
     "nodes": """
         SELECT customer_id, CAST(n_regionkey AS BIGINT) AS region_id, node_id, start_date,
-          coalesce(lead(start_date) OVER (PARTITION BY customer_id ORDER BY start_date) - 1, DATE '9999-12-31') AS end_date
-        FROM (SELECT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS start_date,
-                max(CAST(o_orderpriority[1] AS BIGINT)) AS node_id FROM orders GROUP BY 1, 2)
+          greatest(start_date, coalesce(
+            lead(start_date) OVER (PARTITION BY customer_id ORDER BY start_date, node_id) - 1, DATE '9999-12-31')) AS end_date
+        FROM (SELECT DISTINCT o_custkey AS customer_id, CAST(o_orderdate AS DATE) AS start_date,
+                CAST(o_orderpriority[1] AS BIGINT) AS node_id FROM orders)
           JOIN customer ON c_custkey = customer_id JOIN nation ON n_nationkey = c_nationkey""",
     "stays": """
         SELECT customer_id, region_id, node_id, CAST(sum(end_date - start_date) AS BIGINT) AS days_stayed

@@ -215,13 +215,21 @@ class Views:
     # Validity intervals
     @cached_property
     def nodes(self) -> DataFrame:
-        """A customer stays on a node (the order priority's number) from one order date to the day before the next."""
-        stays = self.t.orders.groupBy(
+        """A customer stays on a node (the order priority's number) from one order date to the day before the next.
+
+        Nodes of one day follow each other by their numbers: all but the last are left on that day. An order without a
+        priority counts only on a day that has no other.
+        """
+        # Windowed over days, of which a customer has few; a day has at most one entry per node.
+        days = self.t.orders.groupBy(
             F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").cast("date").alias("start_date")
-        ).agg(F.max(priority_number()).alias("node_id"))
+        ).agg(F.array_sort(F.collect_set(priority_number())).alias("_nodes"))
         following = F.lead("start_date").over(Window.partitionBy("customer_id").orderBy("start_date"))
-        return stays.withColumn(
-            "end_date", F.coalesce(F.date_sub(following, 1), F.lit(OPEN_END).cast("date"))
+        until = days.withColumn("_until", F.coalesce(F.date_sub(following, 1), F.lit(OPEN_END).cast("date")))
+        stays = until.select("customer_id", "start_date", "_nodes", "_until", F.posexplode_outer("_nodes").alias("_p", "node_id"))
+        left_today = F.col("_p") + 1 < F.size("_nodes")
+        return stays.withColumn("end_date", F.when(left_today, F.col("start_date")).otherwise(F.col("_until"))).drop(
+            "_nodes", "_until", "_p"
         ).join(self.customer_regions, "customer_id")
 
     @cached_property

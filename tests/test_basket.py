@@ -6,6 +6,7 @@ from decimal import Decimal
 from itertools import combinations
 
 import pytest
+from pyspark.sql import functions as F
 
 from caseloom.operators import basket as op
 from caseloom.operators.impact import share_of_parent
@@ -84,3 +85,22 @@ def test_triples_with_a_basket_of_thousands(spark):
     baskets = [set(range(2000))] + [{1, 5, 9, 100 + k} for k in range(4)] + [{3, 4, 2000 + k} for k in range(9)]
     df = spark.createDataFrame([(i, p, 1) for i, items in enumerate(baskets) for p in items], "txn_id int, product_id int, quantity int")
     assert sorted(tuple(r) for r in op.basket_triples(df).collect()) == [(1, 5, 9, 5)]
+
+
+def test_large_baskets_are_projected_not_paired(spark):
+    """A transaction of n products is n - 2 arrays wherever rows are shuffled or written, and weak pairs are not."""
+    shared = [(t, p) for t in range(2) for p in range(2000)]
+    items = spark.createDataFrame(shared + [(t, 5000 + t) for t in range(2)], "_t int, _i int")
+    support = items.groupBy("_i").agg(F.count(F.lit(1)).alias("_s"))
+    conditional = op.conditional_baskets(op._baskets(items, support))
+    assert conditional.count() == 2 * 1999
+    assert op._strong_pairs(conditional, 3).count() == 0
+
+
+def test_a_product_in_very_many_transactions_is_dealt_to_salts(spark):
+    baskets = random_baskets(7, 200, 9, [3, 4, 5])
+    items = spark.createDataFrame([(t, p) for t, ps in enumerate(baskets) for p in ps], "_t int, _i int")
+    support = items.groupBy("_i").agg(F.count(F.lit(1)).alias("_s"))
+    whole, salted = (op.conditional_baskets(op._baskets(items, support), block) for block in (1 << 16, 10))
+    assert salted.select("a", "_salt").distinct().count() > 3 * whole.select("a", "_salt").distinct().count()
+    assert rows(op._strong_pairs(salted, 5)) == rows(op._strong_pairs(whole, 5)) != []

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from caseloom.operators import intervals as op
+from caseloom.sources.views import Views
 
 from .conftest import rows
 from .tables import d, t
@@ -108,3 +109,16 @@ def test_dates_and_timestamps_meet(spark):
     points = spark.createDataFrame([(1, dt.date(2020, 1, 5)), (2, dt.date(2020, 1, 6))], "id int, at date")
     spans = spark.createDataFrame([("a", t("2020-01-05 00:00"), t("2020-01-05 23:59")), ("b", t("2020-01-05 00:01"), t("2020-01-06 00:00"))], "name string, lo timestamp, hi timestamp")
     assert rows(op.interval_join(points, spans, "at", "lo", "hi"), "id", "name") == [(1, "a"), (2, "b")]
+
+
+def test_all_nodes_of_a_day_are_stays(spark, tmp_path):
+    """Three nodes on one day: two end that day, the last stays until the day before the next order."""
+    day = lambda d: f"TIMESTAMP_NTZ '1995-01-{d:02d} 00:00:00'"
+    orders = [(1, day(3), "'2-HIGH'"), (1, day(3), "'5-LOW'"), (1, day(3), "'2-HIGH'"), (1, day(3), "'1-URGENT'"), (1, day(9), "'1-URGENT'"), (2, day(4), "NULL")]
+    values = ", ".join(f"({k}L, {at}, {p})" for k, at, p in orders)
+    spark.sql(f"SELECT * FROM VALUES {values} AS t(o_custkey, o_orderdate, o_orderpriority)").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT * FROM VALUES (1L, 7), (2L, 7) AS t(c_custkey, c_nationkey)").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 7 AS n_nationkey, 3 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    on, end = lambda n: dt.date(1995, 1, n), dt.date(9999, 12, 31)
+    found = rows(Views(spark, str(tmp_path)).nodes, "customer_id", "node_id", "start_date", "end_date")
+    assert found == [(1, 1, on(3), on(3)), (1, 1, on(9), end), (1, 2, on(3), on(3)), (1, 5, on(3), on(8)), (2, None, on(4), end)]

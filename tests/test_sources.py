@@ -1,7 +1,11 @@
 """Readers, sinks, staging and the streamed balance."""
 
 import datetime as dt
+import subprocess
+import sys
+import time
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -45,7 +49,77 @@ def test_stage_uses_the_shared_folder(spark, case):
     staged = sinks.stage(case("menu"), "menu")
     assert rows(staged) == rows(case("menu"))
     folder = sinks.shared_folder(spark).removeprefix("file:")
-    assert all(f.removeprefix("file://").startswith(f"{folder}/menu-") for f in staged.inputFiles())
+    own = {f.removeprefix("file://").removeprefix(f"{folder}/").split("/")[0] for f in staged.inputFiles()}
+    assert len(own) == 1 and own.pop().startswith("caseloom-")
+    assert all("/menu-" in f for f in staged.inputFiles())
+
+
+def test_staged_folders_go(spark, case, tmp_path):
+    path = str(tmp_path / "old")
+    sinks.save_result(case("menu"), path)
+    sinks.remove_folder(spark, path)
+    assert not (tmp_path / "old").exists()
+    staged = sinks.stage(case("menu"), "menu").inputFiles()[0].removeprefix("file://")
+    assert Path(staged).exists()
+    sinks.drop_staged(spark)
+    assert not Path(staged).exists()
+    assert rows(sinks.stage(case("menu"), "menu")) == rows(case("menu"))
+
+
+def test_staged_folders_go_when_the_driver_ends(tmp_path):
+    program = f"""
+from caseloom.session import local_session
+from caseloom.sources import sinks
+spark = local_session(cpus=1, shuffle_partitions=1)
+spark.sparkContext.setCheckpointDir({str(tmp_path / "shared")!r})
+assert sinks.stage(spark.range(5), "numbers").count() == 5
+"""
+    subprocess.run([sys.executable, "-c", program], check=True, timeout=180, cwd=Path(__file__).parent.parent)
+    for _ in range(100):
+        if not list(tmp_path.glob("shared/*/caseloom-*")):
+            break
+        time.sleep(0.1)
+    assert list(tmp_path.glob("shared/*")) and not list(tmp_path.glob("shared/*/caseloom-*"))
+
+
+def failing(df):
+    """Rows of which the last fails when it is written."""
+    return df.repartition(4).withColumn("rating", F.when(F.col("order_id") < 10, F.col("rating")).otherwise(F.raise_error(F.lit("stop")).cast("int")))
+
+
+def test_a_replaced_table_survives_a_failed_write(spark, case, tmp_path):
+    folder, ratings = str(tmp_path), case("ratings")
+    table = sinks.replace_table(ratings, "replaced_ratings", folder)
+    assert rows(table) == rows(ratings)
+    with pytest.raises(Exception, match="stop"):
+        sinks.replace_table(failing(ratings), "replaced_ratings", folder)
+    assert rows(spark.table("replaced_ratings")) == rows(ratings)
+    # From its own rows, and the old files stay for those who read them.
+    half = sinks.replace_table(spark.table("replaced_ratings").where("rating > 3"), "replaced_ratings", folder)
+    assert rows(half) == rows(ratings.where("rating > 3")) and rows(table) == rows(ratings)
+    # Other columns, and no old files.
+    before = half.inputFiles()[0].removeprefix("file://")
+    other = sinks.replace_table(ratings.select("order_id"), "replaced_ratings", folder, drop_old=True)
+    assert rows(other) == rows(ratings.select("order_id")) and not Path(before).exists()
+    spark.sql("DROP TABLE replaced_ratings")
+
+
+def test_an_append_may_be_repeated(case, tmp_path):
+    path, ratings = str(tmp_path / "t"), case("ratings")
+    low, high = ratings.where("rating <= 3"), ratings.where("rating > 3")
+    sinks.append_batch(low, path, "low")
+    table = sinks.append_batch(high, path, "high")
+    assert rows(table.drop("batch")) == rows(ratings)
+    for _ in range(2):
+        table = sinks.append_batch(high, path, "high")
+        assert rows(table.drop("batch")) == rows(ratings)
+    with pytest.raises(Exception, match="stop"):
+        sinks.append_batch(failing(ratings), path, "low")
+    assert rows(table.drop("batch")) == rows(ratings)
+    sinks.append_batch(high.where("false"), path, "low")
+    assert rows(table.where("batch = 'low'").drop("batch")) == rows(low)
+    with pytest.raises(ValueError):
+        sinks.append_batch(ratings, path, "x", column="rating")
 
 
 def test_scans_read_only_used_columns(spark):
