@@ -128,15 +128,18 @@ def _strong_pairs(conditional: DataFrame, least: int) -> DataFrame:
     return kept.groupBy("a", "b").agg(F.sum("_n").alias("_n")).filter(F.col("_n") >= least).select("a", "b")
 
 
-def _counted_triples(conditional: DataFrame, strong: DataFrame | None = None) -> DataFrame:
-    """Counts of the triples of each conditional database, which is first narrowed to the strong partners of its product."""
+def _triples(conditional: DataFrame, strong: DataFrame | None = None) -> DataFrame:
+    """The triples of each conditional database, which is first narrowed to the strong partners of its product."""
     rest = F.col("_rest")
     if strong is not None:
         conditional = conditional.join(strong.groupBy("a").agg(F.collect_list("b").alias("_with")), "a")
         rest = F.array_intersect("_rest", "_with")
     fans = conditional.select("a", F.array_sort(rest).alias("_rest")).filter(F.size("_rest") >= 2)
     second = fans.select("a", "_rest", F.posexplode("_rest").alias("_p", "b"))
-    triples = second.select("a", "b", F.explode(F.slice("_rest", F.col("_p") + 2, F.size("_rest"))).alias("c"))
+    return second.select("a", "b", F.explode(F.slice("_rest", F.col("_p") + 2, F.size("_rest"))).alias("c"))
+
+
+def _counted(triples: DataFrame) -> DataFrame:
     return triples.groupBy("a", "b", "c").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -153,15 +156,18 @@ def basket_triples(lines: DataFrame, seed_items: int = 40) -> DataFrame:
     items = stage(bought.distinct(), "basket-items")
     support = items.groupBy("_i").agg(F.count(F.lit(1)).alias("_s"))
     seed = F.broadcast(support.orderBy(F.desc("_s"), "_i").limit(seed_items))
-    seeded = _counted_triples(conditional_baskets(_baskets(items, seed)))
+    seeded = _counted(_triples(conditional_baskets(_baskets(items, seed))))
     least = max(seeded.agg(F.max("n")).first()[0] or 0, 2)
     conditional = conditional_baskets(stage(_baskets(items, support.filter(F.col("_s") >= least)), "baskets"))
     strong = stage(_strong_pairs(conditional, least), "basket-strong")
-    totals = stage(_counted_triples(conditional, strong).filter(F.col("n") >= least), "basket-counts")
+    totals = stage(_counted(_triples(conditional, strong)).filter(F.col("n") >= least), "basket-counts")
     most = totals.agg(F.max("n")).first()[0]
     if most is None:
-        totals, most = _counted_triples(conditional_baskets(_baskets(items, support))), 1
+        # Each occurs once, so there is nothing to count.
+        best = _triples(conditional_baskets(_baskets(items, support))).withColumn("n", F.lit(1).cast("bigint"))
+    else:
+        best = totals.filter(F.col("n") == most)
     triple = F.array_sort(F.array("a", "b", "c"))
-    return totals.filter(F.col("n") == most).select(
+    return best.select(
         *(triple[i].alias(f"product_{i + 1}") for i in range(3)), F.col("n").alias("transactions")
     )
