@@ -12,7 +12,7 @@ from .grouped import join_back, radix_select
 # Fixed value: the end date that stands for "still open".
 OPEN_END = "9999-12-31"
 # How much finer than an interval its nodes are: 2**DEPTH of them fit into it.
-DEPTH = 3
+DEPTH = 1
 PERCENTILES = {"median": "0.5", "80th percentile": "0.8", "95th percentile": "0.95"}
 
 
@@ -100,7 +100,8 @@ def intervals_at(moments: DataFrame, intervals: DataFrame, at: str, start: str,
 
     Intervals go to a few nodes of a binary tree over time, a moment looks at its node on each level that is in use, and the exact
     bounds are checked again. So an open interval is a few rows, as is one of a second, and moments of one day meet the intervals
-    of their own hours or seconds. ``seen`` may name a column that is cheaper to scan than ``moments`` and covers its range.
+    of their own hours or seconds. ``seen`` may name a column that is cheaper to scan than ``moments`` and covers its range. Both sides
+    are merged, never broadcast: their sizes are estimated from before rows were made for nodes and levels.
     """
     kind = _moments(moments.schema[at].dataType, intervals.schema[start].dataType, intervals.schema[end].dataType)
     tick = lambda c: _ticks(F.col(c).cast(kind), kind)
@@ -112,14 +113,20 @@ def intervals_at(moments: DataFrame, intervals: DataFrame, at: str, start: str,
     nodes = interval_nodes(
         intervals, F.greatest(tick(start), span["lo"]), F.coalesce(F.least(tick(end), span["hi"]), span["hi"])
     ).select(*(F.col(c).alias(f"_by_{c}") for c in by), *(c for c in intervals.columns if c not in by), "_level", "_node")
-    levels = nodes.agg(F.array_sort(F.collect_set("_level")).alias("l")).scalar()
-    probes = distinct.withColumn("_levels", levels).withColumn("_probe", F.explode("_levels")).withColumn("_tick", tick(at))
+    used = F.array_sort(F.collect_set("_level")).alias("_levels")
+    if by:
+        # Only the levels of the moment's own key.
+        levels = nodes.groupBy(*(f"_by_{c}" for c in by)).agg(used).select(*(F.col(f"_by_{c}").alias(c) for c in by), "_levels")
+        levelled = distinct.join(levels.hint("merge"), [*by])
+    else:
+        levelled = distinct.withColumn("_levels", nodes.agg(used).scalar())
+    probes = levelled.withColumn("_probe", F.explode("_levels")).withColumn("_tick", tick(at))
     probes = probes.withColumn("_at_node", F.expr("shiftright(_tick, _probe)"))
     on = (F.col("_probe") == F.col("_level")) & (F.col("_at_node") == F.col("_node"))
     for c in by:
         on = on & (F.col(c) == F.col(f"_by_{c}"))
     inside = (F.col(at) >= F.col(start)) & (F.col(end).isNull() | (F.col(at) <= F.col(end)))
-    return probes.join(nodes, on & inside).drop("_levels", "_probe", "_tick", "_at_node", "_level", "_node", *(f"_by_{c}" for c in by))
+    return probes.join(nodes.hint("merge"), on & inside).drop("_levels", "_probe", "_tick", "_at_node", "_level", "_node", *(f"_by_{c}" for c in by))
 
 
 def interval_join(points: DataFrame, intervals: DataFrame, at: str, start: str, end: str, by: Sequence[str] = ()) -> DataFrame:

@@ -230,7 +230,7 @@ class Views:
         left_today = F.col("_p") + 1 < F.size("_nodes")
         return stays.withColumn("end_date", F.when(left_today, F.col("start_date")).otherwise(F.col("_until"))).drop(
             "_nodes", "_until", "_p"
-        ).join(self.customer_regions, "customer_id")
+        ).join(self.customer_regions.hint("merge"), "customer_id")  # compressed orders look small enough to be broadcast
 
     @cached_property
     def customer_regions(self) -> DataFrame:

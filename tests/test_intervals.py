@@ -122,3 +122,26 @@ def test_all_nodes_of_a_day_are_stays(spark, tmp_path):
     on, end = lambda n: dt.date(1995, 1, n), dt.date(9999, 12, 31)
     found = rows(Views(spark, str(tmp_path)).nodes, "customer_id", "node_id", "start_date", "end_date")
     assert found == [(1, 1, on(3), on(3)), (1, 1, on(9), end), (1, 2, on(3), on(3)), (1, 5, on(3), on(8)), (2, None, on(4), end)]
+
+
+def test_lookups_are_merged_not_broadcast(spark, tmp_path):
+    """Small files become many rows per node and level, so no side of the lookup may be broadcast on a size estimated before that."""
+    spark.range(40).selectExpr("id % 4 AS o_custkey", "TIMESTAMP_NTZ '1995-01-03 00:00:00' + make_dt_interval(int(id)) AS o_orderdate", "concat(id % 5 + 1, '-X') AS o_orderpriority").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.sql("SELECT id AS c_custkey, 7 AS c_nationkey FROM range(4)").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.sql("SELECT 7 AS n_nationkey, 3 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    nodes = Views(spark, str(tmp_path)).nodes
+    days = nodes.select("customer_id", F.col("start_date").alias("day"))
+    for by in ([], ["customer_id"]):
+        found = op.intervals_at(days, nodes if by else nodes.drop("customer_id"), "day", "start_date", "end_date", by)
+        plan = found._jdf.queryExecution().sparkPlan().toString()
+        joined = [line for line in plan.splitlines() if "Join" in line]
+        assert [line for line in joined if "_at_node" in line or "customer_id" in line]
+        assert not [line for line in joined if "Broadcast" in line and ("_at_node" in line or "customer_id" in line)]
+    assert rows(nodes.groupBy().count()) == [(40,)]
+
+
+def test_levels_differ_from_key_to_key(spark):
+    """One key with a second's interval, one with a century's, one with none, and no key."""
+    spans = spark.createDataFrame([(1, "s", t("2020-01-05 10:00"), t("2020-01-05 10:00")), (2, "c", t("1990-01-01 00:00"), t("2090-01-01 00:00"))], "g int, name string, lo timestamp_ntz, hi timestamp_ntz")
+    points = spark.createDataFrame([(1, t("2020-01-05 10:00")), (2, t("2020-01-05 10:00")), (3, t("2020-01-05 10:00")), (1, t("1999-01-01 00:00")), (None, t("2020-01-05 10:00"))], "g int, at timestamp_ntz")
+    assert rows(op.intervals_at(points, spans, "at", "lo", "hi", ["g"]), "g", "name") == [(1, "s"), (2, "c")]
