@@ -10,6 +10,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import split_list
 
+# The list texts that are broadcast, the most common ones; each of the others stands in fewer rows than any of these.
+FREQUENT = 10_000
+
 
 def ordered_names(order_by: str, name: str = "topping_name", sep: str = ", ") -> Column:
     """Ordered string aggregation (AG16, AG17)."""
@@ -44,11 +47,29 @@ def names_by_list(orders: DataFrame, column: str, toppings: DataFrame, into: str
     return tokens.join(toppings, "topping_id").groupBy(column).agg(ordered_names("topping_id").alias(into))
 
 
-def order_label(orders: DataFrame, names: DataFrame, toppings: DataFrame) -> DataFrame:
+def with_list_names(rows: DataFrame, orders: DataFrame, column: str, toppings: DataFrame, into: str, frequent: int = FREQUENT) -> DataFrame:
+    """``rows`` with the topping names of their list text, NULL for rows without one; ``orders`` holds all list texts.
+
+    A few texts (or none at all) may stand in most rows. The ``frequent`` most common texts are broadcast; the others are
+    joined by text, and rows that have nothing left to look up are dealt by all their values, so no text gathers rows in one task.
+    """
+    texts = orders.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    named = texts.join(names_by_list(orders, column, toppings, into), column, "left")
+    common = named.orderBy(F.desc("_n"), column).limit(frequent).drop("_n")
+    rare = named.join(F.broadcast(common.select(column)), column, "left_anti")
+    found = rows.join(F.broadcast(common.withColumn("_common", F.lit(True))), column, "left")
+    text = F.when(F.col("_common").isNull(), F.col(column))
+    asked = found.withColumn("_text", text).withColumn("_dealt", F.when(text.isNull(), F.xxhash64(*rows.columns)).otherwise(0))
+    answers = rare.select(F.col(column).alias("_text"), F.lit(0).cast("bigint").alias("_dealt"), F.col(into).alias("_late"))
+    late = asked.join(answers, ["_text", "_dealt"], "left")
+    return late.select(*rows.columns, F.coalesce(into, "_late").alias(into))
+
+
+def order_label(orders: DataFrame, names: DataFrame, toppings: DataFrame, frequent: int = FREQUENT) -> DataFrame:
     """``Name - Exclude a, b - Extra c, d`` for every ordered item (DO5)."""
-    without = names_by_list(orders, "exclusions", toppings, "without")
-    added = names_by_list(orders, "extras", toppings, "added")
-    labelled = orders.join(names, "pizza_id").join(without, "exclusions", "left").join(added, "extras", "left")
+    rows = orders.select("order_id", "customer_id", "pizza_id", "exclusions", "extras").join(names, "pizza_id")
+    rows = with_list_names(rows, orders, "exclusions", toppings, "without", frequent)
+    labelled = with_list_names(rows, orders, "extras", toppings, "added", frequent)
     return labelled.select(
         "order_id", "customer_id", "pizza_id",
         F.concat_ws(

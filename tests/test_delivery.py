@@ -3,6 +3,7 @@
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from caseloom.operators import clean, delivery as op, lists
 from caseloom.sources.sinks import append_rows
@@ -151,3 +152,35 @@ def test_new_product(kitchen):
     added = lists.with_everything(kitchen.names, kitchen.recipes, kitchen.toppings, "Supreme")
     assert rows(added.filter("pizza_id = 3")) == [(3, "Supreme", "1, 2, 3, 4, 5, 6, 7, 8, 9, 10, 11, 12")]
     assert added.count() == 3
+
+
+LISTS = [(1, "1, 2", None), (2, "1, 2", "3"), (3, "3", "1, 2"), (4, "77", "3"), (5, None, None), (6, "", "3"), (6, "", "3"), (7, "2", "77, 1")]
+
+
+@pytest.mark.parametrize("frequent", [0, 1, 2, 100])
+def test_labels_of_common_and_rare_lists(spark, frequent):
+    items = spark.createDataFrame([(k, k, 1, e, x) for k, e, x in LISTS], "order_id int, customer_id int, pizza_id int, exclusions string, extras string")
+    names = spark.createDataFrame([(1, "P")], "pizza_id int, pizza_name string")
+    toppings = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "topping_id int, topping_name string")
+    found = lists.order_label(items, names, toppings, frequent)
+    assert rows(found, "order_id", "label") == [
+        (1, "P - Exclude a, b"), (2, "P - Exclude a, b - Extra c"), (3, "P - Exclude c - Extra a, b"), (4, "P - Extra c"), (5, "P"),
+        (6, "P - Extra c"), (6, "P - Extra c"), (7, "P - Exclude b - Extra a"),
+    ]
+
+
+def test_items_without_a_list_are_not_gathered(spark):
+    items = spark.createDataFrame([(k, k, 1, None if k % 10 else "1", None) for k in range(400)], "order_id int, customer_id int, pizza_id int, exclusions string, extras string")
+    names = spark.createDataFrame([(1, "P")], "pizza_id int, pizza_name string")
+    toppings = spark.createDataFrame([(1, "a")], "topping_id int, topping_name string")
+    fixed = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in fixed}
+    try:
+        for k, v in fixed.items():
+            spark.conf.set(k, v)
+        labels = lists.order_label(items, names, toppings)
+        sizes = [r["count"] for r in labels.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 400 and max(sizes) < 200
