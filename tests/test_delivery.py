@@ -154,6 +154,17 @@ def test_new_product(kitchen):
     assert added.count() == 3
 
 
+def test_items_of_repeated_and_missing_orders(spark):
+    """Every item meets every delivered run of its order; nothing is counted by order first."""
+    items = spark.createDataFrame([(1, 7), (1, 7), (1, 8), (2, 7), (None, 7), (3, None), (4, 9)], "order_id int, pizza_id int")
+    runs = spark.createDataFrame([(1, 2.5), (1, 3.0), (2, None), (3, 1.0), (None, 1.0), (4, 1.0)], "order_id int, distance double")
+    names = spark.createDataFrame([(7, "a"), (8, "b"), (8, "c"), (None, "d")], "pizza_id int, pizza_name string")
+    found = op.delivered_by_type(items, runs, names)
+    assert rows(found) == [(7, "a", 4), (8, "b", 2), (8, "c", 2)]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [pizza_id" in plan and "Aggregate [order_id" not in plan
+
+
 LISTS = [(1, "1, 2", None), (2, "1, 2", "3"), (3, "3", "1, 2"), (4, "77", "3"), (5, None, None), (6, "", "3"), (6, "", "3"), (7, "2", "77, 1")]
 
 
