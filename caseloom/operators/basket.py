@@ -10,6 +10,9 @@ from ..functions import mean, percent
 from ..sources.sinks import stage
 from .grouped import order_statistics
 
+# Rows or pairs that a task holds at once when transactions are collected and pairs are counted.
+TASK_ROWS = 1 << 19
+
 
 def gross() -> Column:
     """Line revenue before discount."""
@@ -100,9 +103,20 @@ def penetration(lines: DataFrame) -> DataFrame:
     return per_product.withColumn("penetration", percent(F.col("transactions"), whole, 4))
 
 
-def _baskets(items: DataFrame, support: DataFrame) -> DataFrame:
-    """One row per transaction of three products or more: its products, those in fewer transactions first."""
-    sets = items.join(support, "_i").groupBy("_t").agg(F.array_sort(F.collect_list(F.struct("_s", "_i"))).alias("_items"))
+def _dealt(df: DataFrame, rows: int | None, *keys: str) -> DataFrame:
+    """Rows dealt by their keys to as many tasks as ``rows``, the number that each task's memory depends on, needs.
+
+    Left to itself Spark sizes tasks by shuffled bytes, which do not show what compressed arrays become when they are opened.
+    """
+    return df.repartition(*keys) if rows is None else df.repartition(max(1, -(-rows // TASK_ROWS)), *keys)
+
+
+def _baskets(items: DataFrame, support: DataFrame, rows: int | None = None) -> DataFrame:
+    """One row per transaction of three products or more: its products, those in fewer transactions first.
+
+    ``rows`` is the number of items; they are dealt by transaction at once, as collecting them by product first shrinks nothing.
+    """
+    sets = _dealt(items.join(support, "_i"), rows, "_t").groupBy("_t").agg(F.array_sort(F.collect_list(F.struct("_s", "_i"))).alias("_items"))
     return sets.filter(F.size("_items") >= 3)
 
 
@@ -119,9 +133,12 @@ def conditional_baskets(baskets: DataFrame, block: int = 1 << 16) -> DataFrame:
     )
 
 
-def _strong_pairs(conditional: DataFrame, least: int) -> DataFrame:
-    """Pairs in ``least`` transactions or more, counted product by product so that arrays are shuffled, not pairs."""
-    dealt = conditional.repartition("a", "_salt").select("a", "_salt", "_salts", F.explode("_rest").alias("b"))
+def _strong_pairs(conditional: DataFrame, least: int, pairs: int | None = None) -> DataFrame:
+    """Pairs in ``least`` transactions or more, counted product by product so that arrays are shuffled, not pairs.
+
+    ``pairs`` is the number of pairs in all transactions.
+    """
+    dealt = _dealt(conditional, pairs, "a", "_salt").select("a", "_salt", "_salts", F.explode("_rest").alias("b"))
     counted = dealt.groupBy("a", "_salt", "_salts", "b").agg(F.count(F.lit(1)).alias("_n"))
     # The count of a product with one salt is final, so its weak pairs end here.
     kept = counted.filter((F.col("_n") >= least) | (F.col("_salts") > 1))
@@ -154,17 +171,20 @@ def basket_triples(lines: DataFrame, seed_items: int = 40) -> DataFrame:
     """
     bought = lines.filter(F.col("quantity") >= 1).select(F.col("txn_id").alias("_t"), F.col("product_id").alias("_i"))
     items = stage(bought.distinct(), "basket-items")
+    rows = items.count()
     support = items.groupBy("_i").agg(F.count(F.lit(1)).alias("_s"))
     seed = F.broadcast(support.orderBy(F.desc("_s"), "_i").limit(seed_items))
-    seeded = _counted(_triples(conditional_baskets(_baskets(items, seed))))
+    seeded = _counted(_triples(conditional_baskets(_baskets(items, seed, rows))))
     least = max(seeded.agg(F.max("n")).first()[0] or 0, 2)
-    conditional = conditional_baskets(stage(_baskets(items, support.filter(F.col("_s") >= least)), "baskets"))
-    strong = stage(_strong_pairs(conditional, least), "basket-strong")
+    baskets = stage(_baskets(items, support.filter(F.col("_s") >= least), rows), "baskets")
+    pairs = baskets.agg(F.sum(F.expr("size(_items) * (size(_items) - 1L) div 2"))).first()[0] or 0
+    conditional = conditional_baskets(baskets)
+    strong = stage(_strong_pairs(conditional, least, pairs), "basket-strong")
     totals = stage(_counted(_triples(conditional, strong)).filter(F.col("n") >= least), "basket-counts")
     most = totals.agg(F.max("n")).first()[0]
     if most is None:
         # Each occurs once, so there is nothing to count.
-        best = _triples(conditional_baskets(_baskets(items, support))).withColumn("n", F.lit(1).cast("bigint"))
+        best = _triples(conditional_baskets(_baskets(items, support, rows))).withColumn("n", F.lit(1).cast("bigint"))
     else:
         best = totals.filter(F.col("n") == most)
     triple = F.array_sort(F.array("a", "b", "c"))

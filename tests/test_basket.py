@@ -104,3 +104,20 @@ def test_a_product_in_very_many_transactions_is_dealt_to_salts(spark):
     whole, salted = (op.conditional_baskets(op._baskets(items, support), block) for block in (1 << 16, 10))
     assert salted.select("a", "_salt").distinct().count() > 3 * whole.select("a", "_salt").distinct().count()
     assert rows(op._strong_pairs(salted, 5)) == rows(op._strong_pairs(whole, 5)) != []
+
+
+def test_tasks_follow_the_rows(spark, monkeypatch):
+    """Transactions and pairs are dealt to as many tasks as their number asks for, whatever few bytes they are when shuffled."""
+    baskets = random_baskets(8, 200, 30, [4, 5, 6])
+    data = [(t, p, 1) for t, ps in enumerate(baskets) for p in ps]
+    items = spark.createDataFrame(data, "_t int, _i int, _q int").drop("_q")
+    support = items.groupBy("_i").agg(F.count(F.lit(1)).alias("_s"))
+    monkeypatch.setattr(op, "TASK_ROWS", 50)
+    dealt = op._baskets(items, support, len(data))
+    assert dealt.rdd.getNumPartitions() == -(-len(data) // 50)
+    conditional = op.conditional_baskets(dealt)
+    pairs = sum(len(p) * (len(p) - 1) // 2 for p in baskets)
+    assert op._strong_pairs(conditional, 5, pairs).rdd.getNumPartitions() >= 4
+    assert rows(op._strong_pairs(conditional, 5, pairs)) == rows(op._strong_pairs(conditional, 5)) != []
+    found = op.basket_triples(spark.createDataFrame(data, "txn_id int, product_id int, quantity int"))
+    assert sorted(tuple(r) for r in found.collect()) == brute_force(baskets)
