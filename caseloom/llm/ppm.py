@@ -35,6 +35,8 @@ ADDED = 0.1
 END_WORD = np.uint64(0x60D0E0D0E0D0E0D0)
 WORDS, GRAMS, PAIRS = 0, 1, 2
 BUCKETS_PER_PART = 4
+# A part's keys are merged and looked up in so many slices, each with buckets of its own, so that sorting takes little memory at once.
+SLICES = 16
 _ONE = np.uint64(1)
 
 
@@ -83,13 +85,19 @@ def counted(keys: np.ndarray, learned: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 def merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and their summed counts."""
-    every, times = np.concatenate(keys), np.concatenate(counts)
+    every, times = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
     order = np.argsort(every, kind="stable")
     every, sums = every[order], np.concatenate(([0], np.cumsum(times[order])))
     at = np.flatnonzero(np.concatenate(([True], every[1:] != every[:-1]))) if len(every) else np.zeros(0, np.int64)
     return every[at], sums[np.append(at[1:], len(every))] - sums[at] if len(at) else sums[:0]
 
 
+def buckets_of(keys: np.ndarray, kind: int, buckets: int) -> np.ndarray:
+    """The bucket of each word or gram, that of a gram from its last two context bytes."""
+    spot = keys if kind == WORDS else (keys >> np.uint64(8)) & np.uint64(0xFFFF)
+    return (B.mix(spot + np.uint64(kind)) % np.uint64(buckets)).astype(np.int64)
+
+
 def log_probabilities(grams: np.ndarray, counts: np.ndarray, pairs: np.ndarray) -> np.ndarray:
     """log10 probability of the last byte of each gram after the bytes before it.
 
@@ -159,20 +167,26 @@ def requests(documents: DataFrame, buckets: int) -> DataFrame:
     def count(table: pa.Table) -> pa.Table:
         ids, texts = _texts(table)
         train = np.array([not is_held_out(d) for d in ids], bool)
-        found: dict[int, list] = {WORDS: [], GRAMS: []}
+        found: dict[tuple[int, int], list] = {}
+
+        def keep(kind: int, values: np.ndarray, times: np.ndarray) -> None:
+            for s, v, n in B.parted((buckets_of(values, kind, buckets) % SLICES).astype(np.uint8), values, times.astype(np.uint32)):
+                found.setdefault((kind, s), []).append((v.copy(), n.copy()))
+
         for row, rows, words, owner, stream, bounds, predicted in _streams(texts):
             mine = train[row : row + rows]
-            found[WORDS].append(counted(np.concatenate((words, np.full(rows, END_WORD))), np.concatenate((mine[owner], mine))))
-            found[GRAMS].append(counted(grams_of(stream)[predicted], np.repeat(mine, np.diff(bounds))[predicted]))
+            keep(WORDS, *counted(np.concatenate((words, np.full(rows, END_WORD))), np.concatenate((mine[owner], mine))))
+            keep(GRAMS, *counted(grams_of(stream)[predicted], np.repeat(mine, np.diff(bounds))[predicted]))
         number, rows_out = table["part"][0].as_py(), []
-        for kind in (WORDS, GRAMS):
-            values, times = merged(*zip(*found.pop(kind), strict=True))
-            spot = values if kind == WORDS else (values >> np.uint64(8)) & np.uint64(0xFFFF)
-            for b, v, n in B.parted((B.mix(spot + np.uint64(kind)) % np.uint64(buckets)).astype(np.int64), values, times):
+        tokens, pairs = 0, np.zeros(1 << 16, np.int64)
+        for kind, s in sorted(found):
+            values, times = merged(*zip(*found.pop((kind, s)), strict=True))
+            for b, v, n in B.parted(buckets_of(values, kind, buckets), values, times):
                 rows_out.append((b, number, kind, B.squeezed(v, ordered=True), B.squeezed(n), 0))
             if kind == WORDS:
-                tokens = int(times.sum())
-        pairs = np.bincount((values & np.uint64(0xFFFF)).astype(np.int64), times, 1 << 16).astype(np.int64)
+                tokens += int(times.sum())
+            else:
+                pairs += np.bincount((values & np.uint64(0xFFFF)).astype(np.int64), times, 1 << 16).astype(np.int64)
         some = np.flatnonzero(pairs)
         rows_out.append((-1, number, PAIRS, B.squeezed(some, ordered=True), B.squeezed(pairs[some]), tokens))
         return pa.Table.from_batches([B.packed(rows_out, schema)])
@@ -235,28 +249,42 @@ def scores(docs: DataFrame) -> DataFrame:
     _, size = B.text_bytes(base)
     parts = B.part_count(docs.sparkSession, size, PART_BYTES)
     documents = S.dealt_documents(base, parts)
-    asked = stage(requests(documents, BUCKETS_PER_PART * parts), "ppm-requests")
+    buckets = BUCKETS_PER_PART * parts
+    asked = stage(requests(documents, buckets), "ppm-requests")
     tokens = int(asked.agg(F.coalesce(F.sum("tokens"), F.lit(0)).alias("n")).first()["n"])
     scale = np.log10(tokens + ADDED * (distinct_words(asked) + 1))
     result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()), ("score", pa.float64())])
 
-    def known(table: pa.Table, kind: int, dtype: str) -> tuple[np.ndarray, np.ndarray]:
+    def known(table: pa.Table, kind: int, dtype: str) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """Keys in order and what was found for them, for each slice."""
         mine = table.filter(pa.array(np.asarray(table["kind"]) == kind))
-        keys = np.concatenate([B.expanded(k, "u8", ordered=True) for k in mine["keys"].to_pylist()])
-        found = np.concatenate([B.expanded(v, dtype) for v in mine["found"].to_pylist()])
-        order = np.argsort(keys)
-        return keys[order], found[order]
+        told: dict[int, list] = {}
+        for k, v in zip(mine["keys"], mine["found"], strict=True):
+            keys = B.expanded(k.as_py(), "u8", ordered=True)
+            told.setdefault(int(buckets_of(keys[:1], kind, buckets)[0]) % SLICES, []).append((keys, B.expanded(v.as_py(), dtype)))
+        out = {}
+        for s in list(told):
+            keys, found = (np.concatenate(x) for x in zip(*told.pop(s), strict=True))
+            order = np.argsort(keys)
+            out[s] = keys[order], found[order]
+        return out
+
+    def looked_up(keys: np.ndarray, kind: int, answers: dict[int, tuple[np.ndarray, np.ndarray]], dtype: str) -> np.ndarray:
+        out = np.empty(len(keys), dtype)
+        for s, at in B.parted((buckets_of(keys, kind, buckets) % SLICES).astype(np.uint8), np.arange(len(keys))):
+            of_slice, found = answers[s]
+            out[at] = found[np.searchsorted(of_slice, keys[at])]
+        return out
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return result.empty_table()
         ids, texts = _texts(left)
-        words_known, word_counts = known(right, WORDS, "i8")
-        grams_known, gram_logs = known(right, GRAMS, "f4")
+        word_counts, gram_logs = known(right, WORDS, "i8"), known(right, GRAMS, "f4")
         n_tokens, n_known, base_score, scored = [], [], [], []
         for _, rows, words, owner, stream, bounds, predicted in _streams(texts):
             every, who = np.concatenate((words, np.full(rows, END_WORD))), np.concatenate((owner, np.arange(rows)))
-            times = word_counts[np.searchsorted(words_known, every)]
+            times = looked_up(every, WORDS, word_counts, "i8")
             n_tokens.append(np.bincount(who, minlength=rows))
             n_known.append(np.bincount(who[times > 0], minlength=rows))
             base_score.append(np.bincount(who, np.log10(times + ADDED), rows) - n_tokens[-1] * scale)
@@ -265,7 +293,7 @@ def scores(docs: DataFrame) -> DataFrame:
             grams = grams[order]
             new = np.concatenate(([True], grams[1:] != grams[:-1]))
             logs = np.empty(len(grams))
-            logs[order] = gram_logs[np.searchsorted(grams_known, grams[new])][np.cumsum(new) - 1]
+            logs[order] = looked_up(grams[new], GRAMS, gram_logs, "f4")[np.cumsum(new) - 1]
             sums = np.concatenate(([0.0], np.cumsum(logs)))
             cuts = bounds - ORDER * np.arange(rows + 1)
             scored.append(sums[cuts[1:]] - sums[cuts[:-1]])

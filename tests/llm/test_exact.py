@@ -6,7 +6,9 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
+import zstandard
 
 from caseloom.llm import adscan, bagminhash, bpe, gearchunks, imatch, mixing, ordinal, ppm, prefixfree, templates
 
@@ -427,3 +429,27 @@ def test_nearest_neighbours(spark):
         assert len(mine) == 10 and mine == sorted(mine, key=lambda x: (x[1], x[0]))
         assert all(s == pytest.approx(distance[np.flatnonzero(ids == d)[0]], abs=1e-12) for d, s in mine)
     assert hits >= 0.9 * 10 * len(found)
+
+
+def test_byte_model_merges_a_part_in_slices(monkeypatch):
+    """No merge of a part's keys sees more than a fraction of them; the requests are the same for any number of slices."""
+    rnd = np.random.default_rng(5)
+    texts = ["".join(chr(c) for c in rnd.integers(97, 123, 4000)) for _ in range(20)]
+    squeeze = zstandard.ZstdCompressor(level=1)
+    part = pa.table({"part": pa.array([0] * 20, pa.int64()), "doc_id": pa.array(range(20), pa.int64()), "tag": pa.array(range(20), pa.int64()), "text": pa.array([squeeze.compress(t.encode()) for t in texts], pa.binary())})
+
+    class Documents:
+        def groupBy(self, key):
+            return self
+
+        def applyInArrow(self, work, schema):
+            return work
+
+    sizes, merged = [], ppm.merged
+    monkeypatch.setattr(ppm, "merged", lambda keys, counts: sizes.append(sum(map(len, keys))) or merged(keys, counts))
+    monkeypatch.setattr(ppm, "STREAM_BYTES", 8000)
+    asked = ppm.requests(Documents(), 64)(part).to_pylist()
+    assert max(sizes) < sum(sizes) / 6
+    monkeypatch.setattr(ppm, "SLICES", 1)
+    key = lambda r: (r["kind"], r["bucket"])
+    assert sorted(asked, key=key) == sorted(ppm.requests(Documents(), 64)(part).to_pylist(), key=key)
