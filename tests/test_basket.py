@@ -117,7 +117,8 @@ def test_tasks_follow_the_rows(spark, monkeypatch):
     assert dealt.rdd.getNumPartitions() == -(-len(data) // 50)
     conditional = op.conditional_baskets(dealt)
     pairs = sum(len(p) * (len(p) - 1) // 2 for p in baskets)
-    assert op._strong_pairs(conditional, 5, pairs).rdd.getNumPartitions() >= 4
+    plan = op._strong_pairs(conditional, 5, pairs)._jdf.queryExecution().optimizedPlan().toString()
+    assert [line for line in plan.splitlines() if "RepartitionByExpression [a#" in line and line.endswith(f", {-(-pairs // 50)}")]
     assert rows(op._strong_pairs(conditional, 5, pairs)) == rows(op._strong_pairs(conditional, 5)) != []
     found = op.basket_triples(spark.createDataFrame(data, "txn_id int, product_id int, quantity int"))
     assert sorted(tuple(r) for r in found.collect()) == brute_force(baskets)
